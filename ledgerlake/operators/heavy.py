@@ -1,0 +1,29 @@
+"""Keys that hold so many rows that one task must not get all of them."""
+
+from __future__ import annotations
+
+from typing import Any
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_KEYS = 1_000
+TRACKED_ITEMS = 10_000
+
+
+def heavy_keys(df: DataFrame, key: str, min_rows: int = 5_000_000) -> list[Any]:
+    """Keys (NULL included) with about `min_rows` rows or more, at most `MAX_KEYS` of them.
+
+    One pass over one column with a fixed-size sketch per task, no shuffle of
+    rows. The estimate steers only how the work is split, never the result: a
+    key that is missed or listed needlessly costs time and nothing else.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {MAX_KEYS}, {TRACKED_ITEMS})")
+    top = df.agg(sketch.alias("top")).select(F.inline("top").alias("item", "rows"))
+    return [row["item"] for row in top.where(F.col("rows") >= min_rows).collect()]
+
+
+def is_heavy(key: str, heavy: list[Any]) -> Column:
+    """Never NULL, so the negation is the exact complement."""
+    listed = F.coalesce(F.col(key).isin([k for k in heavy if k is not None]), F.lit(False))
+    return listed | F.col(key).isNull() if None in heavy else listed
