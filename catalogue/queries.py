@@ -27,7 +27,7 @@ from ledgerlake.operators.book import (
     SUM,
     BookSpec,
     feature_book,
-    feature_dictionary,
+    feature_coverage,
 )
 from ledgerlake.operators.dedup import exact_rows, latest_load, latest_version, restamp
 from ledgerlake.operators.first_line import first_lines, mark_first_lines
@@ -193,11 +193,7 @@ def book_from_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def book_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each column stands for and for how many customers it has a value."""
     lines = book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF)
-    full = feature_book(recency_windows(lines, AS_OF))
-    names = [f.var for f in BOOK.features()]
-    filled = full.agg(*(F.count(name).alias(name) for name in names))
-    coverage = filled.unpivot([], names, "var", "customers")
-    return feature_dictionary(spark).join(coverage, "var")
+    return feature_coverage(recency_windows(lines, AS_OF))
 
 
 # Control, round trips, whole runs

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.features import month_code
+from ledgerlake.functions.features import first_match, month_code
 
 AS_OF = date(2001, 8, 31)
 DT_PROC = "20010831000000"
@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _by_region(labels: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*map(F.lit, labels)), F.col("n_regionkey") + 1)
+    return first_match((F.col("n_regionkey") == i, label) for i, label in enumerate(labels))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,13 @@
 """Monthly retail lake and customer feature book as Spark DataFrame operators."""
 
 from ledgerlake.operators.audit import load_audit, write_audit
-from ledgerlake.operators.book import BOOK, BookSpec, feature_book, feature_dictionary
+from ledgerlake.operators.book import (
+    BOOK,
+    BookSpec,
+    feature_book,
+    feature_coverage,
+    feature_dictionary,
+)
 from ledgerlake.operators.dedup import exact_rows, latest_load, restamp
 from ledgerlake.operators.ingest import ingest_subject, stamp_load
 from ledgerlake.operators.stage import book_lines, stage_features
@@ -20,6 +26,7 @@ __all__ = [
     "book_lines",
     "exact_rows",
     "feature_book",
+    "feature_coverage",
     "feature_dictionary",
     "ingest_subject",
     "latest_load",

@@ -17,11 +17,6 @@ CURRENCIES = {"USD": "DOLAR", "EUR": "EURO", "GBP": "LIBRA", "CNY": "YUAN"}
 RETURN_TYPE = "Return"
 
 
-def weekday_label(day: Column) -> Column:
-    """Label of the weekday, Sunday first; NULL for a NULL date."""
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.dayofweek(day))
-
-
 def first_match(cases: Iterable[tuple[Column, Any]]) -> Column:
     """Value of the first condition that holds, NULL if none does."""
     cases = list(cases)
@@ -31,6 +26,12 @@ def first_match(cases: Iterable[tuple[Column, Any]]) -> Column:
     return out
 
 
+def weekday_label(day: Column) -> Column:
+    """Label of the weekday, Sunday first; NULL for a NULL date."""
+    number = F.dayofweek(day)
+    return first_match((number == i, label) for i, label in enumerate(WEEKDAYS, start=1))
+
+
 def banded(value: Column, bands: Sequence[tuple[int, str]]) -> Column:
     """Label of the first band whose upper bound is not exceeded, else NULL."""
     return first_match((value <= upper, label) for upper, label in bands)

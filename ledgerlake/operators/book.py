@@ -119,6 +119,25 @@ def feature_dictionary(spark: SparkSession, spec: BookSpec = BOOK) -> DataFrame:
     )
 
 
+def feature_coverage(windows: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
+    """The feature dictionary with the number of customers that have a value in each column.
+
+    Counted on the totals per value, before they are laid side by side.
+    """
+    places = range(len(spec.value_features))
+    filled = _value_totals(_cells(windows, spec), spec).groupBy("_value").agg(
+        *(F.count(f"f{place}").alias(str(place)) for place in places)
+    )
+    number = F.col("_value") * len(places) + F.col("_place").cast("int") + spec.first_var
+    counted = filled.unpivot("_value", [f"{place}" for place in places], "_place", "customers").select(
+        F.concat(F.lit("VAR_"), number.cast("string")).alias("var"), "customers"
+    )
+    dictionary = feature_dictionary(windows.sparkSession, spec)
+    return dictionary.join(counted, "var", "left").withColumn(
+        "customers", F.coalesce("customers", F.lit(0).cast("bigint"))
+    )
+
+
 def feature_book(windows: DataFrame, spec: BookSpec = BOOK, form: str = "cells") -> DataFrame:
     """One row per customer and reference month with every column of `spec`.
 
@@ -205,9 +224,14 @@ def _cells(windows: DataFrame, spec: BookSpec) -> DataFrame:
 
 
 def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
-    """One row per customer and value with all its window aggregates."""
+    """One row per customer and value with all its window aggregates.
+
+    The rows are brought together by customer alone. That also serves the
+    groupings that follow, and unlike the reference month, which is often one
+    constant, it stays a column of the plan.
+    """
     values = F.array_compact(F.array(*(F.col(dim) for dim, _ in spec.dims)))
-    per_value = cells.repartition(*spec.keys).select(
+    per_value = cells.repartition(spec.keys[0]).select(
         *spec.keys, "_window", F.explode_outer(values).alias("_value"),
         *(f"{measure}_{part}" for measure, part in _measure_parts(spec)),
     )

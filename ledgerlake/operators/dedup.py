@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,20 @@ def exact_rows(df: DataFrame, dedup: str = "business", version: str = "dt_proc")
     raise ValueError(f"unknown dedup mode {dedup!r}")
 
 
+def _stamp(df: DataFrame, version: str) -> Column:
+    """Load stamps as numbers where they are strings of digits.
+
+    A maximum over a number is kept in a hash table; one over a string would
+    make Spark sort all rows by key, before the shuffle and after it.
+    """
+    stamp = F.col(version)
+    return stamp.cast("bigint") if dict(df.dtypes)[version] == "string" else stamp
+
+
 def latest_version(df: DataFrame, keys: Sequence[str], version: str = "dt_proc") -> DataFrame:
-    """One row per key with its newest version in `newest_version`."""
-    return df.groupBy(*keys).agg(F.max(version).alias("newest_version"))
+    """One row per key with its newest load stamp in `newest_version`."""
+    newest = F.max(_stamp(df, version)).cast(df.schema[version].dataType)
+    return df.groupBy(*keys).agg(newest.alias("newest_version"))
 
 
 def latest_load(
@@ -41,6 +52,8 @@ def latest_load(
     `strategy="rank"` needs one scan and one shuffle, but all newest rows of a
     key meet in one task: only for keys known to have few rows.
 
+    The version is a number, a date, a timestamp or a string of digits.
+
     Rows with a NULL key part are dropped, or with `null_keys="keep"` form a key
     of their own. Rows whose key has no version at all are dropped in any case.
     """
@@ -52,7 +65,7 @@ def latest_load(
         candidates = df.where(F.col(version).isNotNull())
         if null_keys == "drop":
             candidates = candidates.dropna("any", subset=keys)
-        newest_first = Window.partitionBy(*keys).orderBy(F.col(version).desc())
+        newest_first = Window.partitionBy(*keys).orderBy(_stamp(df, version).desc())
         return (
             candidates.withColumn("_rank", F.rank().over(newest_first))
             .where("_rank = 1")
@@ -61,16 +74,16 @@ def latest_load(
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    newest = latest_version(df, keys, version).alias("newest")
-    rows = df.alias("rows")
+    newest = df.groupBy(*keys).agg(F.max(_stamp(df, version)).alias("_newest")).alias("newest")
+    rows = df.withColumn("_stamp", _stamp(df, version)).alias("rows")
     same_key = [
         F.col(f"rows.{key}").eqNullSafe(F.col(f"newest.{key}"))
         if null_keys == "keep"
         else F.col(f"rows.{key}") == F.col(f"newest.{key}")
         for key in keys
     ]
-    is_newest = F.col(f"rows.{version}") == F.col("newest.newest_version")
-    return rows.join(newest, reduce(and_, [*same_key, is_newest]), "left_semi")
+    is_newest = F.col("rows._stamp") == F.col("newest._newest")
+    return rows.join(newest, reduce(and_, [*same_key, is_newest]), "left_semi").drop("_stamp")
 
 
 def restamp(df: DataFrame, dt_proc: str) -> DataFrame:
