@@ -173,9 +173,9 @@ def rounded(book: DataFrame, spec: BookSpec) -> DataFrame:
         for f in spec.features()
         if f.measure.lower() in AMOUNT_MEASURES and f.agg in (SUM, AVG)
     }
-    return book.select(
+    return book.selectExpr(
         *(
-            F.round(name, amounts[name]).alias(name) if name in amounts else name
+            f"round({name}, {amounts[name]}) AS {name}" if name in amounts else name
             for name in book.columns
         )
     )

@@ -126,7 +126,7 @@ def feature_coverage(windows: DataFrame, spec: BookSpec = BOOK) -> DataFrame:
     """
     places = range(len(spec.value_features))
     filled = _value_totals(_cells(windows, spec), spec).groupBy("_value").agg(
-        *(F.count(f"f{place}").alias(str(place)) for place in places)
+        *(F.expr(f"count(f{place}) AS `{place}`") for place in places)
     )
     number = F.col("_value") * len(places) + F.col("_place").cast("int") + spec.first_var
     counted = filled.unpivot("_value", [f"{place}" for place in places], "_place", "customers").select(
@@ -193,8 +193,7 @@ def _value_number(dim: str, spec: BookSpec) -> Column:
 
 # Parts an aggregate is put together from, each of which can be merged again.
 _PARTS = {SUM: ("sum",), AVG: ("sum", "count"), MIN: ("min",), MAX: ("max",)}
-_PART_OF_ROWS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-_PART_OF_PARTS = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+_MERGE = {"sum": "sum", "count": "sum", "min": "min", "max": "max"}
 
 
 def _measure_parts(spec: BookSpec) -> list[tuple[str, str]]:
@@ -217,7 +216,7 @@ def _cells(windows: DataFrame, spec: BookSpec) -> DataFrame:
     )
     return narrow.groupBy(*spec.keys, "_window", *dims).agg(
         *(
-            _PART_OF_ROWS[part](measure).alias(f"{measure}_{part}")
+            F.expr(f"{part}(`{measure}`) AS `{measure}_{part}`")
             for measure, part in _measure_parts(spec)
         )
     )
@@ -230,20 +229,21 @@ def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
     groupings that follow, and unlike the reference month, which is often one
     constant, it stays a column of the plan.
     """
-    values = F.array_compact(F.array(*(F.col(dim) for dim, _ in spec.dims)))
+    values = F.array_compact(F.array(*(dim for dim, _ in spec.dims)))
     per_value = cells.repartition(spec.keys[0]).select(
         *spec.keys, "_window", F.explode_outer(values).alias("_value"),
         *(f"{measure}_{part}" for measure, part in _measure_parts(spec)),
     )
 
-    def total(measure: str, part: str, number: int) -> Column:
-        return _PART_OF_PARTS[part](F.when(F.col("_window") <= number, F.col(f"{measure}_{part}")))
+    def total(measure: str, part: str, number: int) -> str:
+        picked = f"CASE WHEN _window <= {number} THEN `{measure}_{part}` END"
+        return f"{_MERGE[part]}({picked})"
 
     columns = []
     for place, (measure, number, agg) in enumerate(spec.value_features):
         parts = [total(measure, part, number) for part in _PARTS[agg]]
-        column = F.try_divide(*parts) if agg == AVG else parts[0]
-        columns.append(column.alias(f"f{place}"))
+        column = f"try_divide({', '.join(parts)})" if agg == AVG else parts[0]
+        columns.append(F.expr(f"{column} AS f{place}"))
     return per_value.groupBy(*spec.keys, "_value").agg(*columns)
 
 
@@ -256,7 +256,6 @@ def _side_by_side(totals: DataFrame, spec: BookSpec) -> DataFrame:
         .pivot("_value", list(numbers))
         .agg(F.first("_all"))
     )
-    return pivoted.select(
-        *spec.keys,
-        *(F.col(f"`{v}`.f{p}").alias(spec.var_name(v, p)) for v in numbers for p in places),
+    return pivoted.selectExpr(
+        *spec.keys, *(f"`{v}`.f{p} AS {spec.var_name(v, p)}" for v in numbers for p in places)
     )

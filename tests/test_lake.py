@@ -1,0 +1,196 @@
+"""Whole runs over a lake in a temporary folder, control rows, readers and writers."""
+
+from datetime import date
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from catalogue.retail import RAW
+from ledgerlake.operators.audit import audit_rows, counted_write, load_audit, write_audit
+from ledgerlake.plans.monthly_run import RunFailed, run_month
+from ledgerlake.sources.layers import (
+    LakePaths,
+    append_table,
+    newest_load,
+    read_table,
+    register_layer,
+    replace_load,
+    spread_by,
+)
+from ledgerlake.sources.scratch import scratch_dir
+from ledgerlake.sources.subjects import SUBJECTS
+
+JULY, AUGUST = "20010731060000", "20010831060000"
+JULY_END, AUGUST_END = date(2001, 7, 31), date(2001, 8, 31)
+
+
+def drop_landing_files(spark, sf_dir, paths, subjects=tuple(RAW)):
+    for subject in subjects:
+        RAW[subject](spark, sf_dir).write.mode("overwrite").option("header", True).csv(
+            paths.landing(subject)
+        )
+
+
+def control(spark, paths, layer):
+    return {
+        (r.tb_name, r.dt_proc): r.qtd_registros
+        for r in spark.read.parquet(paths.control(layer)).collect()
+    }
+
+
+@pytest.fixture(scope="module", params=["business", "with_load"])
+def lake(request, spark, tmp_path_factory):
+    """Two monthly runs over the same landing files."""
+    from conftest import SMALL
+
+    paths = LakePaths(str(tmp_path_factory.mktemp("lake")))
+    drop_landing_files(spark, SMALL, paths)
+    run_month(spark, paths, JULY, JULY_END, dedup=request.param)
+    run_month(spark, paths, AUGUST, AUGUST_END, dedup=request.param)
+    return request.param, paths
+
+
+def test_control_rows_are_the_committed_rows(spark, lake):
+    _, paths = lake
+    raw, trusted, refined = (control(spark, paths, x) for x in ("raw", "trusted", "refined"))
+    assert len(raw) == len(trusted) == 12 and len(refined) == 16
+    for load in (JULY, AUGUST):
+        for subject in SUBJECTS:
+            key = int(load)
+            assert read_table(spark, paths.raw(subject), load).count() == raw[f"tb_raw_{subject}", key]
+            assert (
+                read_table(spark, paths.trusted(subject), load).count()
+                == trusted[f"tb_trusted_{subject}", key]
+            )
+            assert (
+                read_table(spark, paths.snapshot(subject), load).count()
+                == refined[f"tb_refined_data_viz_{subject}", key]
+            )
+        assert read_table(spark, paths.stage, load).count() == refined["tb_refined_stage", key]
+    books = spark.read.parquet(paths.book).groupBy("ref").count().collect()
+    assert {r.ref: r["count"] for r in books} == {
+        200107: refined["tb_refined_book", int(JULY)],
+        200108: refined["tb_refined_book", int(AUGUST)],
+    }
+
+
+def test_rows_loaded_twice(spark, lake):
+    """Compared with their load, the copies of two loads survive; compared by business, not."""
+    mode, paths = lake
+    counts = control(spark, paths, "trusted")
+    for subject in SUBJECTS:
+        first = counts[f"tb_trusted_{subject}", int(JULY)]
+        second = counts[f"tb_trusted_{subject}", int(AUGUST)]
+        assert second == (2 * first if mode == "with_load" else first)
+
+
+def test_layout_and_types(spark, lake):
+    _, paths = lake
+    trusted = {s: dict(spark.read.parquet(paths.trusted(s)).dtypes) for s in SUBJECTS}
+    assert trusted["transactions"]["dt_proc"] == "string"
+    assert trusted["transactions"]["ref"] == "int"
+    assert all(trusted[s]["dt_proc"] == "bigint" for s in SUBJECTS if s != "transactions")
+    stage = spark.read.parquet(paths.stage)
+    assert dict(stage.dtypes)["dt_proc"] == "bigint" and stage.columns[-1] == "ref"
+    assert len(spark.read.parquet(paths.book).columns) == 682
+    control_types = spark.read.parquet(paths.control("refined")).dtypes
+    assert control_types == [("tb_name", "string"), ("dt_proc", "bigint"), ("qtd_registros", "bigint")]
+
+
+def test_one_load_is_read_from_its_directory_only(spark, lake):
+    _, paths = lake
+    plan = read_table(spark, paths.snapshot("customers"), AUGUST)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(dt_proc" in plan
+    newest = newest_load(spark.read.parquet(paths.snapshot("customers")))
+    assert rows(newest) == rows(read_table(spark, paths.snapshot("customers"), AUGUST))
+    assert "PartitionFilters: [isnotnull(dt_proc" in newest._jdf.queryExecution().toString()
+
+
+def test_views(spark, lake):
+    _, paths = lake
+    register_layer(spark, {f"tb_{s}": paths.snapshot(s) for s in SUBJECTS})
+    count = spark.sql("select count(*) from tb_stores where dt_proc = 20010831060000").first()[0]
+    assert count == control(spark, paths, "refined")["tb_refined_data_viz_stores", int(AUGUST)]
+    assert spark.table("tb_customers").columns[0] == "customer_id"
+
+
+def test_a_failing_subject_does_not_stop_the_others(spark, sf_dir, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    drop_landing_files(spark, sf_dir, paths, ("stores", "transactions"))
+    (tmp_path / "01_transient" / "employees.csv").write_text("Wrong,Header\n1,2\n")
+    with pytest.raises(RunFailed) as failed:
+        run_month(spark, paths, AUGUST, AUGUST_END)
+    report = failed.value.report
+    assert set(report.failures) == {
+        "tb_raw_customers", "tb_raw_discounts", "tb_raw_employees", "tb_raw_products",
+    }
+    assert "tb_refined_book" in report.rows and "tb_refined_data_viz_stores" in report.rows
+    assert {name for name, _ in control(spark, paths, "raw")} == {"tb_raw_stores", "tb_raw_transactions"}
+
+
+def test_empty_landing_files(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    (tmp_path / "01_transient").mkdir()
+    for subject, spec in SUBJECTS.items():
+        header = ",".join(h for h, _, _ in spec.landing)
+        (tmp_path / "01_transient" / f"{subject}.csv").write_text(header + "\n")
+    with pytest.raises(RunFailed) as failed:
+        run_month(spark, paths, AUGUST, AUGUST_END)
+    assert {table: rows for table, rows in failed.value.report.rows.items()} == {
+        f"tb_raw_{s}": 0 for s in SUBJECTS
+    }
+
+
+def test_only_new_loads(spark, sf_dir, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    drop_landing_files(spark, sf_dir, paths)
+    first = run_month(spark, paths, JULY, JULY_END, loads="new")
+    second = run_month(spark, paths, AUGUST, AUGUST_END, loads="new")
+    assert first.rows == second.rows
+
+
+def test_counted_write_counts_what_was_written(spark, tmp_path):
+    df = spark.range(1000).withColumn("g", F.col("id") % 7).repartition(5, "g")
+    path = str(tmp_path / "t")
+    assert counted_write(df.where("id < 900"), lambda d: append_table(d, path, ("g",))) == 900
+    assert counted_write(df.where("id < 0"), lambda d: append_table(d, path, ("g",))) == 0
+    nothing = spark.createDataFrame([], "id bigint, g bigint")
+    assert counted_write(nothing, lambda d: append_table(d, path, ("g",))) == 0
+    assert spark.read.parquet(path).count() == 900
+
+
+def test_audit_rows_have_one_type(spark, tmp_path):
+    path = str(tmp_path / "control")
+    table = spark.range(5)
+    write_audit([load_audit(table, "a", JULY), load_audit(table.where("id < 2"), "b", JULY)], path)
+    write_audit(audit_rows(spark, [("c", AUGUST, 7)]), path)
+    assert rows(spark.read.parquet(path)) == [
+        ("a", int(JULY), 5), ("b", int(JULY), 2), ("c", int(AUGUST), 7),
+    ]
+
+
+def test_replacing_a_load_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = lambda load, n: spark.range(n).withColumn("dt_proc", F.lit(load))
+    for load, n in ((1, 3), (2, 4), (2, 5)):
+        replace_load(df(load, n), path, ("dt_proc",))
+    counts = spark.read.parquet(path).groupBy("dt_proc").count().collect()
+    assert {r.dt_proc: r["count"] for r in counts} == {1: 3, 2: 5}
+
+
+def test_spread_writes_few_files_per_directory(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 16).withColumn("ref", F.col("id") % 10)
+    append_table(df, str(tmp_path / "plain"), ("ref",))
+    append_table(spread_by(df, "ref"), str(tmp_path / "spread"), ("ref",))
+    files = lambda name: len(list((tmp_path / name).glob("ref=*/*.parquet")))
+    assert files("plain") == 160 and files("spread") == 10
+    assert rows(spark.read.parquet(str(tmp_path / "spread"))) == rows(
+        spark.read.parquet(str(tmp_path / "plain"))
+    )
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
