@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -18,9 +18,17 @@ from ledgerlake.operators.ingest import ingest_subject
 from ledgerlake.operators.stage import stage_features
 from ledgerlake.operators.standardise import standardise
 from ledgerlake.operators.windows import recency_windows
-from ledgerlake.sources.layers import LakePaths, append_table, read_table, spread_by
+from ledgerlake.sources.layers import (
+    LakePaths,
+    append_table,
+    newest_load,
+    read_table,
+    spread_by,
+)
 from ledgerlake.sources.subjects import SUBJECTS, SubjectSpec
 
+STEPS = ("raw", "trusted", "refined", "book")
+
 
 @dataclass
 class RunReport:
@@ -49,6 +57,7 @@ class MonthlyRun:
     dedup: str = "business"
     null_keys: str = "drop"
     loads: str = "all"
+    snapshots: str = "run"
     book: BookSpec = BOOK
     subjects: tuple[SubjectSpec, ...] = tuple(SUBJECTS.values())
     report: RunReport = field(default_factory=RunReport)
@@ -71,10 +80,16 @@ class MonthlyRun:
         return self._append(df, self.paths.snapshot(spec.name), ("dt_proc",))
 
     def write_stage(self) -> int:
-        snapshot = read_table(self.spark, self.paths.snapshot("transactions"), self.dt_proc)
-        df = stage_features(snapshot, self.dt_proc, self.as_of)
+        df = stage_features(self._snapshot(), self.dt_proc, self.as_of)
         return self._append(df, self.paths.stage, ("ref",))
 
+    def _snapshot(self) -> DataFrame:
+        path = self.paths.snapshot("transactions")
+        if self.snapshots == "run":
+            return read_table(self.spark, path, self.dt_proc)
+        every = read_table(self.spark, path)
+        return newest_load(every) if self.snapshots == "newest" else every
+
     def write_book(self) -> int:
         ref = int(ReferencePeriod.of(self.as_of).ref)
         stage = read_table(self.spark, self.paths.stage, self.dt_proc).where(F.col("ref") == ref)
@@ -113,11 +128,17 @@ class MonthlyRun:
         if counts:
             write_audit(audit_rows(self.spark, counts), self.paths.control(control))
 
-    def execute(self) -> RunReport:
-        raw = self._layer("tb_raw", "raw", self.write_raw, self.subjects)
-        trusted = self._layer("tb_trusted", "trusted", self.write_trusted, raw)
-        refined = self._layer("tb_refined_data_viz", "refined", self.write_snapshot, trusted)
-        if any(spec.name == "transactions" for spec in refined):
+    def execute(self, steps: Collection[str] = STEPS) -> RunReport:
+        ready = list(self.subjects)
+        layers = (
+            ("raw", "tb_raw", self.write_raw),
+            ("trusted", "tb_trusted", self.write_trusted),
+            ("refined", "tb_refined_data_viz", self.write_snapshot),
+        )
+        for layer, prefix, step in layers:
+            if layer in steps:
+                ready = self._layer(prefix, layer, step, ready)
+        if "book" in steps and any(spec.name == "transactions" for spec in ready):
             if self._attempt("tb_refined_stage", self.write_stage):
                 self._audit("refined", ["tb_refined_stage"])
                 if self._attempt("tb_refined_book", self.write_book):
@@ -128,9 +149,14 @@ class MonthlyRun:
 
 
 def run_month(
-    spark: SparkSession, paths: LakePaths, dt_proc: str, as_of: date, **options
+    spark: SparkSession,
+    paths: LakePaths,
+    dt_proc: str,
+    as_of: date,
+    steps: Collection[str] = STEPS,
+    **options,
 ) -> RunReport:
-    """Landing to book for one load.
+    """Landing to book for one load, or some of the steps of it.
 
     A subject that fails is left out of the later layers while the others go on;
     the run then ends with `RunFailed`, which carries the report. Every layer
@@ -138,6 +164,8 @@ def run_month(
     control counts come from the writes themselves.
 
     `loads="all"` standardises every raw load again, `loads="new"` only the one
-    of this run.
+    of this run. The stage is made from the snapshot of this run, or with
+    `snapshots` from the "newest" one or from "all" of them, which counts the
+    amounts of a sale once per snapshot.
     """
-    return MonthlyRun(spark, paths, dt_proc, as_of, **options).execute()
+    return MonthlyRun(spark, paths, dt_proc, as_of, **options).execute(steps)

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from catalogue.retail import RAW
+from ledgerlake.__main__ import main
 from ledgerlake.operators.audit import audit_rows, counted_write, load_audit, write_audit
 from ledgerlake.plans.monthly_run import RunFailed, run_month
 from ledgerlake.sources.layers import (
@@ -150,6 +151,36 @@ def test_only_new_loads(spark, sf_dir, tmp_path):
     assert first.rows == second.rows
 
 
+def test_steps_as_separate_applications(spark, sf_dir, tmp_path):
+    """Each step with a stamp of its own, the way separately submitted programs run."""
+    paths = LakePaths(str(tmp_path))
+    drop_landing_files(spark, sf_dir, paths)
+    arguments = ["--root", paths.root, "--as-of", "2001-08-11"]
+    for number, step in enumerate(("raw", "trusted", "refined", "book")):
+        main([*arguments, "--dt-proc", f"2001083106000{number}", "--steps", step], spark)
+    whole = LakePaths(str(tmp_path / "whole"))
+    drop_landing_files(spark, sf_dir, whole)
+    main(["--root", whole.root, "--as-of", "2001-08-11", "--dt-proc", AUGUST], spark)
+    book = lambda p: rows(spark.read.parquet(p.book))
+    assert book(paths) == book(whole)
+
+
+def test_all_snapshots_count_amounts_once_per_snapshot(spark, sf_dir, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    drop_landing_files(spark, sf_dir, paths, ("transactions",))
+    only = {"subjects": (SUBJECTS["transactions"],)}
+    run_month(spark, paths, JULY, AUGUST_END, **only)
+    run_month(spark, paths, AUGUST, AUGUST_END, snapshots="all", **only)
+    totals = {
+        str(r.dt_proc): (r.items, r.sales)
+        for r in spark.read.parquet(paths.stage)
+        .groupBy("dt_proc")
+        .agg(F.sum("fvl_qtd_itens_transacao").alias("items"), F.sum("fvl_qtd_transacoes").alias("sales"))
+        .collect()
+    }
+    assert totals[AUGUST] == (2 * totals[JULY][0], totals[JULY][1])
+
+
 def test_counted_write_counts_what_was_written(spark, tmp_path):
     df = spark.range(1000).withColumn("g", F.col("id") % 7).repartition(5, "g")
     path = str(tmp_path / "t")

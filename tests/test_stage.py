@@ -164,6 +164,9 @@ def test_windows_on_golden_dates(spark):
     df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, date date")
     got = recency_windows(df, AS_OF).orderBy("i").collect()
     assert [r.flg_u1m for r in got] == [1, 1, 0, 1, 0]
+    past = recency_windows(df, AS_OF, include_future=False).orderBy("i").collect()
+    assert [r.flg_u1m for r in past] == [1, 1, 0, 0, 0]
+    assert [r.flg_u12m for r in past] == [1, 1, 1, 0, 0]
     assert got[0].asDict().keys() == {
         "i", "date", "flg_u1m", "flg_u3m", "flg_u6m", "flg_u9m", "flg_u12m",
     }
