@@ -227,10 +227,13 @@ def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
 
     The rows are brought together by customer alone. That also serves the
     groupings that follow, and unlike the reference month, which is often one
-    constant, it stays a column of the plan.
+    constant, it stays a column of the plan. Each row grows to many columns
+    from here on, so their number of tasks is fixed: adaptive execution would
+    join partitions by the size they have before that.
     """
     values = F.array_compact(F.array(*(dim for dim, _ in spec.dims)))
-    per_value = cells.repartition(spec.keys[0]).select(
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_value = cells.repartition(tasks, spec.keys[0]).select(
         *spec.keys, "_window", F.explode_outer(values).alias("_value"),
         *(f"{measure}_{part}" for measure, part in _measure_parts(spec)),
     )
@@ -248,14 +251,18 @@ def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
 
 
 def _side_by_side(totals: DataFrame, spec: BookSpec) -> DataFrame:
+    """One row per customer: its value rows, as many as the book has values at most, by number."""
     places = range(len(spec.value_features))
     numbers = range(len(spec.values))
-    pivoted = (
-        totals.select(*spec.keys, "_value", F.struct(*(f"f{p}" for p in places)).alias("_all"))
-        .groupBy(*spec.keys)
-        .pivot("_value", list(numbers))
-        .agg(F.first("_all"))
+    totals_of_value = F.struct(*(f"f{p}" for p in places))
+    per_customer = totals.groupBy(*spec.keys).agg(
+        F.collect_list(F.struct("_value", totals_of_value.alias("totals"))).alias("_values")
     )
-    return pivoted.selectExpr(
-        *spec.keys, *(f"`{v}`.f{p} AS {spec.var_name(v, p)}" for v in numbers for p in places)
+    by_number = F.expr("map_from_entries(filter(_values, v -> v._value IS NOT NULL))")
+    return (
+        per_customer.select(*spec.keys, by_number.alias("_by_number"))
+        .selectExpr(*spec.keys, *(f"_by_number[{v}] AS _v{v}" for v in numbers))
+        .selectExpr(
+            *spec.keys, *(f"_v{v}.f{p} AS {spec.var_name(v, p)}" for v in numbers for p in places)
+        )
     )

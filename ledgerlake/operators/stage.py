@@ -96,13 +96,10 @@ def book_lines(transactions: DataFrame, dt_proc: str, as_of: date) -> DataFrame:
     SUM, AVG, MIN and MAX skip.
     """
     lines, order = _input_lines(transactions)
-    all_lines = lines.withColumn("fvl_qtd_transacoes", F.lit(None).cast("int")).select(
-        *_stage_columns(dt_proc, as_of)
-    )
-    counted = first_lines(lines, "invoice_id", order).withColumn("fvl_qtd_transacoes", F.lit(1))
+    marker = "fvl_qtd_transacoes"
+    plain = lines.withColumn(marker, F.lit(None).cast("int"))
+    counted = first_lines(lines, "invoice_id", order).withColumn(marker, F.lit(1))
+    staged = plain.unionByName(counted).select(*_stage_columns(dt_proc, as_of))
+    is_plain = F.col(marker).isNull()
     silent = ("flg_desconto", "flg_retorno", "fvl_invoice_total", "fvl_qtd_itens_transacao")
-    types = dict(all_lines.dtypes)
-    counts = counted.select(*_stage_columns(dt_proc, as_of)).withColumns(
-        {name: F.lit(None).cast(types[name]) for name in silent}
-    )
-    return all_lines.unionByName(counts)
+    return staged.withColumns({name: F.when(is_plain, F.col(name)) for name in silent})

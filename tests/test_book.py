@@ -99,7 +99,7 @@ def test_customers_meet_only_after_merging(spark, source):
     plan = feature_book(windows)._jdf.queryExecution().executedPlan().toString()
     by_customer = plan.index("Exchange hashpartitioning(customer_id")
     by_cell = plan.index("Exchange hashpartitioning(customer_id", by_customer + 1)
-    assert "REPARTITION_BY_COL" in plan[by_customer:by_cell]
+    assert "REPARTITION_BY_NUM" in plan[by_customer:by_cell]
     assert "partial_sum" in plan[by_cell:]
 
 
