@@ -7,7 +7,7 @@ DT_PROC = "20010831000000"
 FIRST_LOAD, SECOND_LOAD = "20010731000000", "20010831000000"
 
 _RAW_TRANSACTIONS = """
-    SELECT l_orderkey AS "Invoice ID", l_linenumber AS "Line", o_custkey AS "Customer ID",
+    SELECT CAST(l_orderkey AS VARCHAR) AS "Invoice ID", l_linenumber AS "Line", o_custkey AS "Customer ID",
            l_partkey AS "Product ID", l_linestatus AS "Size", o_orderpriority AS "Color",
            l_extendedprice / l_quantity AS "Unit Price", CAST(l_quantity AS INTEGER) AS "Quantity",
            o_orderdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS "Date",
@@ -280,8 +280,8 @@ def _control(transactions: str, stage: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _ingested(subject: str, kinds: str = "*") -> str:
-    return f"SELECT {kinds}, CAST({DT_PROC} AS BIGINT) AS dt_proc FROM ({_RAW[subject]})"
+def _ingested(subject: str) -> str:
+    return f"SELECT *, CAST({DT_PROC} AS BIGINT) AS dt_proc FROM ({_RAW[subject]})"
 
 
 _DIM_OF = {
@@ -346,9 +346,7 @@ ORACLE: dict[str, str] = {
     **{
         f"ingest_csv_{subject}": _ingested(subject) for subject in _RAW if subject != "transactions"
     },
-    "ingest_csv_roundtrip": _ingested(
-        "transactions", '* REPLACE (CAST("Invoice ID" AS VARCHAR) AS "Invoice ID")'
-    ),
+    "ingest_csv_roundtrip": _ingested("transactions"),
     "write_by_ref_roundtrip": f"""
     SELECT invoice_id, line, product_id, line_total, dt_proc, CAST(ref AS INTEGER) AS ref
     FROM ({_TRANSACTIONS})""",

@@ -32,7 +32,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as invoice lines.
 
     Orders meet their customers first, so that the long table of lines is
-    shuffled once, by order.
+    shuffled once, by order. The invoice id is text, so what follows does not
+    build on the partitions of that join, and adaptive execution stays free to
+    cut an order that holds a large part of the lines into several tasks.
     """
     orders = (
         table(spark, sf_dir, "orders")
@@ -42,7 +44,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     hour = (F.col("l_orderkey") % 24).cast("int")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("Invoice ID"),
+        F.col("l_orderkey").cast("string").alias("Invoice ID"),
         F.col("l_linenumber").alias("Line"),
         F.col("o_custkey").alias("Customer ID"),
         F.col("l_partkey").alias("Product ID"),
