@@ -24,6 +24,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--as-of", type=date.fromisoformat, default=now.date())
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
     parser.add_argument("--subjects", nargs="+", choices=list(SUBJECTS), default=list(SUBJECTS))
+    parser.add_argument("--landing", choices=("batch", "stream"), default="batch")
+    parser.add_argument("--clean", choices=("off", "archive", "delete"), default="off")
     parser.add_argument("--dedup", choices=("business", "with_load"), default="business")
     parser.add_argument("--loads", choices=("all", "new"), default="all")
     parser.add_argument("--snapshots", choices=("run", "newest", "all"))
@@ -35,6 +37,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         chosen.dt_proc,
         chosen.as_of,
         steps=chosen.steps,
+        landing=chosen.landing,
+        clean=chosen.clean,
         dedup=chosen.dedup,
         loads=chosen.loads,
         snapshots=chosen.snapshots or ("run" if "refined" in chosen.steps else "newest"),

@@ -26,6 +26,7 @@ from ledgerlake.sources.layers import (
     spread_by,
 )
 from ledgerlake.sources.subjects import SUBJECTS, SubjectSpec
+from ledgerlake.streaming.landing import land_new_files
 
 STEPS = ("raw", "trusted", "refined", "book")
 
@@ -54,6 +55,8 @@ class MonthlyRun:
     paths: LakePaths
     dt_proc: str
     as_of: date
+    landing: str = "batch"
+    clean: str = "off"
     dedup: str = "business"
     null_keys: str = "drop"
     loads: str = "all"
@@ -63,9 +66,20 @@ class MonthlyRun:
     report: RunReport = field(default_factory=RunReport)
 
     def write_raw(self, spec: SubjectSpec) -> int:
+        if self.landing == "stream":
+            return self._land_new_files(spec)
         df = ingest_subject(self.spark, self.paths.landing(spec.name), spec, self.dt_proc)
         return self._append(df, self.paths.raw(spec.name), ("dt_proc",))
 
+    def _land_new_files(self, spec: SubjectSpec) -> int:
+        raw = self.paths.raw(spec.name)
+        land_new_files(
+            self.spark, self.paths.landing_drops(spec.name), spec, self.dt_proc, raw,
+            self.paths.landing_checkpoint(spec.name), clean=self.clean,
+            archive_dir=self.paths.landing_archive(spec.name) if self.clean == "archive" else None,
+        )
+        return read_table(self.spark, raw, self.dt_proc).count()
+
     def write_trusted(self, spec: SubjectSpec) -> int:
         only = None if self.loads == "all" else self.dt_proc
         raw = read_table(self.spark, self.paths.raw(spec.name), only)
@@ -163,6 +177,11 @@ def run_month(
     reads what the layer before it committed, nothing is computed twice, and the
     control counts come from the writes themselves.
 
+    `landing="batch"` reads one file per subject, "stream" all files dropped for
+    it since the last run, and `clean` says what becomes of them. A raw table is
+    written in one of the two ways, not in both: its stream keeps a list of its
+    own files, and readers go by that list.
+
     `loads="all"` standardises every raw load again, `loads="new"` only the one
     of this run. The stage is made from the snapshot of this run, or with
     `snapshots` from the "newest" one or from "all" of them, which counts the

@@ -22,6 +22,12 @@ class LakePaths:
         """Pattern of all files dropped for a subject, for incremental landing."""
         return f"{self.root}/01_transient/{subject}*.csv"
 
+    def landing_archive(self, subject: str) -> str:
+        return f"{self.root}/00_archive/{subject}"
+
+    def landing_checkpoint(self, subject: str) -> str:
+        return f"{self.root}/02_raw/_landed/tb_{subject}"
+
     def raw(self, subject: str) -> str:
         return f"{self.root}/02_raw/tb_{subject}"
 

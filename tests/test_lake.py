@@ -165,6 +165,28 @@ def test_steps_as_separate_applications(spark, sf_dir, tmp_path):
     assert book(paths) == book(whole)
 
 
+def test_runs_with_incremental_landing(spark, tmp_path):
+    """Two drops, two runs: the second takes in the new file only, the first is archived."""
+    paths = LakePaths(str(tmp_path))
+    folder = tmp_path / "01_transient"
+    folder.mkdir()
+    spec = SUBJECTS["employees"]
+    header = ",".join(h for h, _, _ in spec.landing)
+    arguments = ["--root", paths.root, "--landing", "stream", "--clean", "archive",
+                 "--subjects", "employees", "--as-of", "2001-08-31"]
+    for number, load in enumerate((JULY, AUGUST)):
+        (folder / f"employees-{number}.csv").write_text(f"{header}\n{number},2,Bo,Clerk\n7,2,Li,Clerk\n")
+        main([*arguments, "--dt-proc", load], spark)
+    assert control(spark, paths, "raw") == {
+        ("tb_raw_employees", int(JULY)): 2, ("tb_raw_employees", int(AUGUST)): 2,
+    }
+    assert control(spark, paths, "trusted")["tb_trusted_employees", int(AUGUST)] == 3
+    newest = newest_load(spark.read.parquet(paths.snapshot("employees")))
+    assert sorted(r.employee_id for r in newest.collect()) == [0, 1, 7]
+    assert not (folder / "employees-0.csv").exists()
+    assert list((tmp_path / "00_archive").rglob("employees-0.csv"))
+
+
 def test_all_snapshots_count_amounts_once_per_snapshot(spark, sf_dir, tmp_path):
     paths = LakePaths(str(tmp_path))
     drop_landing_files(spark, sf_dir, paths, ("transactions",))
