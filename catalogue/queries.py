@@ -17,7 +17,7 @@ from catalogue.retail import (
     table,
 )
 from ledgerlake.functions.calendar import reference_period_columns
-from ledgerlake.functions.features import DAY_PERIODS, banded, month_code
+from ledgerlake.functions.features import DAY_PERIODS, banded
 from ledgerlake.operators.audit import load_audit
 from ledgerlake.operators.book import (
     AMOUNT_MEASURES,

@@ -72,20 +72,20 @@ def mark_first_lines(
         .where("_n > 0")
     )
     return marked.unionByName(first.withColumn(marker, F.lit(1))).unionByName(
-        repeat_rows(others, "_n").withColumn(marker, F.lit(None).cast("int"))
+        repeat_rows(others, "_n", COPIES_PER_TASK_STEP).withColumn(marker, F.lit(None).cast("int"))
     )
 
 
-def repeat_rows(df: DataFrame, times: str, step: int = COPIES_PER_TASK_STEP) -> DataFrame:
+def repeat_rows(df: DataFrame, times: str, step: int) -> DataFrame:
     """Each row `times` times, without that column.
 
     A large count is first cut into steps of bounded size that are spread over
     the cluster, so that no task writes out all copies of one row.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [name for name in df.columns if name != times]
-    steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0), F.expr(f"(`{times}` - 1) div {step}"))))
+    last_step = F.expr(f"(`{times}` - 1) div {step}")
+    steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0), last_step)))
     size = F.least(F.lit(step), F.col(times) - F.col("_step") * step)
     return (
         steps.repartition(partitions, "_step", *columns)
