@@ -15,6 +15,8 @@ class LakePaths:
 
     root: str
 
+    # Directory and table names of the layers.
+
     def landing(self, subject: str) -> str:
         return f"{self.root}/01_transient/{subject}.csv"
 
