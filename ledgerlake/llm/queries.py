@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.bpe import bpe_digests
+from ledgerlake.llm.decontamination import benchmark_leaks
+from ledgerlake.llm.licenses import license_scan
+from ledgerlake.llm.lines import line_dedup
 from ledgerlake.llm.neighbours import nearest_neighbours
 from ledgerlake.llm.token_counts import token_counts
 from ledgerlake.llm.toxicity import toxicity
@@ -26,21 +29,36 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_line_dedup": op3_line_dedup,
     "op4_neighbours": op4_neighbours,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op6_bpe": op6_bpe,
+    "op9_licenses": op9_licenses,
     "op10_token_counts": op10_token_counts,
 }
