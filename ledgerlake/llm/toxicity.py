@@ -25,8 +25,8 @@ from ledgerlake.llm.arrow import record_batch
 
 # Bounds of the fit: rows of each class for the models and for the calibration,
 # and the longest text that takes part in the fit. Every text is scored whole.
-FIT_ROWS = 3_000
-CALIBRATION_ROWS = 3_000
+FIT_ROWS = 2_500
+CALIBRATION_ROWS = 2_000
 FIT_TEXT_LENGTH = 100_000
 # Discounts by order: an expression counted this often in a class or less says
 # nothing by itself and gets its backed-off probability, and so does one that is
@@ -131,44 +131,50 @@ def class_tables(
     return ClassTables(bigram, weight, unigram, share)
 
 
-def balanced(rows: list[tuple[list[str], int]]) -> list[tuple[list[str], int]]:
-    """As many rows of either class, the first ones, where there are both.
+def balanced(labels: list[int]) -> list[int]:
+    """Places of as many rows of either class, the first ones, where there are both.
 
     Of two models the one that has read more would know more expressions, which
     tells the classes apart by size.
     """
-    of = {y: [r for r in rows if r[1] == y] for y in (0, 1)}
-    n = min(map(len, of.values())) or len(rows)
+    of = {y: [n for n, label in enumerate(labels) if label == y] for y in (0, 1)}
+    n = min(map(len, of.values())) or len(labels)
     return of[0][:n] + of[1][:n]
 
 
-def vocabulary_of(rows: list[tuple[list[str], int]]) -> dict[str, int]:
+def numbered(texts: list[str]) -> tuple[dict[str, int], list[np.ndarray]]:
+    """All words of the texts with numbers, and the texts in these numbers."""
     vocab: dict[str, int] = {}
-    for ws, _ in rows:
-        for w in ws:
-            vocab.setdefault(w, len(vocab))
-    return vocab
+    ids = []
+    for text in texts:
+        ws = words(text)
+        ids.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in ws), np.int64, len(ws)))
+    return vocab, ids
 
 
-def fit(rows: list[tuple[list[str], int]], vocab: dict[str, int], shared: np.ndarray) -> Model:
-    """The two models over one shared distribution, from (words, label) rows."""
+def fit(
+    ids: list[np.ndarray], labels: list[int], vocab: dict[str, int], shared: np.ndarray
+) -> Model:
+    """The two models over one shared distribution."""
     size = len(vocab)
-    ids = [(np.fromiter(map(vocab.__getitem__, ws), np.int64, len(ws)), y) for ws, y in rows]
-    keys = [np.unique(a[:-1] * (size + 1) + a[1:]) for a, _ in ids if len(a) > 1]
+    keys = [np.unique(a[:-1] * (size + 1) + a[1:]) for a in ids if len(a) > 1]
     keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-    toxic, ordinary = (class_tables([a for a, y in ids if y == k], size, keys, shared) for k in (1, 0))
+    toxic, ordinary = (
+        class_tables([a for a, y in zip(ids, labels) if y == k], size, keys, shared) for k in (1, 0)
+    )
     return Model(vocab, keys, toxic, ordinary, shared)
 
 
-def calibrate(model: Model, rows: list[tuple[list[str], int, float]]) -> None:
+def calibrate(model: Model, rows: list[tuple[str, int, float]], step: int = 64) -> None:
     """Logistic curve over the ratio; rows carry how many rows of their class they stand for."""
-    rows = [r for r in rows if r[0]]
-    y = np.array([r[1] for r in rows], float)
-    weight = np.array([r[2] for r in rows], float)
-    if not len(rows) or y.min() == y.max():
+    parts = [model.ratios([words(r[0]) for r in rows[n : n + step]]) for n in range(0, len(rows), step)]
+    x, lengths = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (0, 1))
+    y = np.array([r[1] for r in rows], float)[lengths > 0]
+    weight = np.array([r[2] for r in rows], float)[lengths > 0]
+    x = x[lengths > 0]
+    if not len(x) or y.min() == y.max():
         model.slope, model.offset = 10.0, 0.0
         return
-    x = model.ratios([r[0] for r in rows])[0]
     spread = x.std() or 1.0
     design = np.stack([x / spread, np.ones(len(x))], axis=1)
     beta = np.zeros(2)
@@ -191,7 +197,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list, list, flo
     """Rows for the models, rows for the calibration, and the share of toxic rows.
 
     Of ids with contradicting labels the larger label counts. The sample is
-    chosen by a hash of the id; its ids, some 12,000 at most, are the only thing
+    chosen by a hash of the id; its ids, some 9,000 at most, are the only thing
     that is broadcast.
     """
     known = (
@@ -218,8 +224,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list, list, flo
         .toArrow().to_pylist()
     )
     sample.sort(key=lambda r: (r["h"], r["text"]))
-    model = [(words(r["text"]), r["toxic"]) for r in sample if not r["part"]]
-    rest = [(words(r["text"]), r["toxic"], 1 / kept[r["part"], r["toxic"]]) for r in sample if r["part"]]
+    model = [(r["text"], r["toxic"]) for r in sample if not r["part"]]
+    rest = [(r["text"], r["toxic"], 1 / kept[r["part"], r["toxic"]]) for r in sample if r["part"]]
     toxic = sum(n for k, n in counts.items() if k[1] == 1)
     return model, rest, toxic / sum(counts.values())
 
@@ -251,8 +257,10 @@ def score_batches(
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     """Both models with the shared counts of all documents, and their calibration."""
     rows, rest, prior = labelled_sample(docs, labels)
-    rows = balanced(rows)
-    known = vocabulary_of(rows)
+    rows = [rows[n] for n in balanced([y for _, y in rows])]
+    classes = [y for _, y in rows]
+    known, ids = numbered([text for text, _ in rows])
+    del rows
     size = len(known)
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(known)
@@ -267,7 +275,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     shared[counts["word"].to_numpy()] = counts["n"].to_numpy()
     shared = (shared + 1) / (shared.sum() + size + 1)
     shared[size] = 1.0  # cancels out, see Model.ratios
-    model = fit(rows, known, shared)
+    model = fit(ids, classes, known, shared)
     model.prior = prior
     calibrate(model, rest)
     return model
