@@ -36,19 +36,18 @@ def seeds_at(hashes: Column, place: Column, masks: list[str]) -> Column:
 
 def placed_seeds(rows: DataFrame, masks: list[str], place: str, seed: str) -> DataFrame:
     """One row for each place and mask; `words` stays with every row."""
-    places = F.sequence(F.lit(0), F.size("words") - 1)
+    places = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1))
     return (
-        rows.where(F.size("words") > 0)
-        .withColumn(place, F.explode(places))
+        rows.withColumn(place, F.explode(places))
         .withColumn(seed, F.explode(seeds_at(F.col("words"), F.col(place), masks)))
         .where(F.col(seed).isNotNull())
     )
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each text and item that overlap: doc_id, item_id, n_places, agreement.
+    """One row for each text and item that overlap: doc_id, item_id, n_hits, agreement.
 
-    n_places counts the different alignments, agreement is the best share of equal
+    n_hits counts the seeds that led to an overlap, agreement is the best share of equal
     words in a stretch of `STRETCH` words (the whole item, if shorter). Items with
     fewer words than a mask are sought word for word, items without words not at
     all. Null and empty texts overlap with nothing; rows with a null id are
@@ -72,24 +71,37 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
     hits = placed_seeds(texts, masks, "place", "seed").join(seeds, "seed")
 
+    # The part of the text that lies beside the item leaves the row of the whole text
+    # right behind the join, in generated code.
     start = F.col("place") - F.col("at")
+    begin = F.greatest(start, F.lit(0))
+    hits = hits.select(
+        "doc_id", "item_id", start.alias("start"), "at", "item",
+        F.slice("words", begin + 1, F.size("item") - (begin - start)).alias("beside"),
+    )
     length = F.size("item")
-    stretch = F.least(length, F.lit(STRETCH))
-    equal = F.transform(
-        "item", lambda w, k: F.when(
-            (start + k >= 0) & (F.get(F.col("words"), F.greatest(start + k, F.lit(0))) == w), 1
-        ).otherwise(0)
+    equal = F.concat(
+        F.array_repeat(F.lit(0), F.greatest(-F.col("start"), F.lit(0))),
+        F.zip_with(
+            F.slice("item", F.greatest(-F.col("start"), F.lit(0)) + 1, length), F.col("beside"),
+            lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)),
+        ),
+    )
+    hits = hits.select(
+        "doc_id", "item_id", "start", "at", F.least(length, F.lit(STRETCH)).alias("stretch"),
+        length.alias("n"), equal.alias("equal"),
     )
-    hits = hits.select("doc_id", "item_id", start.alias("start"), "at", stretch.alias("stretch"), length.alias("n"), equal.alias("equal"))
     lowest = F.greatest(F.lit(0), F.col("at") + F.least(F.lit(SPAN), F.col("n")) - F.col("stretch"))
     highest = F.greatest(lowest, F.least(F.col("at"), F.col("n") - F.col("stretch")))
     agreed = lambda s: F.aggregate(F.slice("equal", s + 1, F.col("stretch")), F.lit(0), lambda a, x: a + x)
     best = F.array_max(F.transform(F.sequence(lowest, highest), agreed)) / F.col("stretch")
+    # Filtered only behind the grouping: as a condition of the join it would take the
+    # join, and with it all places of all texts, out of generated code.
     return (
-        hits.select("doc_id", "item_id", "start", best.alias("agreement"))
-        .where(F.col("agreement") >= AGREEMENT)
+        hits.select("doc_id", "item_id", best.alias("agreement"))
         .groupBy("doc_id", "item_id")
-        .agg(F.countDistinct("start").alias("n_places"), F.max("agreement").alias("agreement"))
+        .agg(F.count_if(F.col("agreement") >= AGREEMENT).alias("n_hits"), F.max("agreement").alias("agreement"))
+        .where(F.col("agreement") >= AGREEMENT)
     )
 
 
