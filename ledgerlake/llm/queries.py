@@ -12,6 +12,7 @@ from ledgerlake.llm.licenses import license_scan
 from ledgerlake.llm.lines import line_dedup
 from ledgerlake.llm.neighbours import nearest_neighbours
 from ledgerlake.llm.substrings import substring_dedup
+from ledgerlake.llm.suffixes import suffix_dedup
 from ledgerlake.llm.token_counts import token_counts
 from ledgerlake.llm.toxicity import toxicity
 
@@ -50,6 +51,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_leaks": op5_benchmark_leaks,
     "op6_bpe": op6_bpe,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_licenses": op9_licenses,
     "op10_token_counts": op10_token_counts,
 }
