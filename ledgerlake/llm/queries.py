@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.bpe import bpe_digests
 from ledgerlake.llm.decontamination import benchmark_leaks
+from ledgerlake.llm.jaccard_join import jaccard_components
 from ledgerlake.llm.licenses import license_scan
 from ledgerlake.llm.lines import line_dedup
 from ledgerlake.llm.neighbours import nearest_neighbours
@@ -27,6 +28,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_neighbours": op4_neighbours,
