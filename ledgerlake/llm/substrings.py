@@ -15,6 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -35,7 +36,7 @@ from ledgerlake.llm.arrow import record_batch, text_slices
 from ledgerlake.llm.tables import written
 
 WINDOW = 35
-GRAM = 12
+GRAM = 8
 BYTES_PER_ANCHOR = 70
 REMEMBERED = 500_000
 
@@ -61,12 +62,11 @@ def run_batches(
             if not len(start):
                 continue
             spans = Spans(units, 0)
-            h1 = spans.hashes(start, start + n + window - 1)
-            h2 = Spans(units, 1).hashes(start, start + n + window - 1)
+            content = spans.hashes(start, start + n + window - 1)
             if len(seen) > REMEMBERED:
                 seen.clear()
             new = np.zeros(len(start), bool)
-            for k, h in enumerate(h1.tolist()):
+            for k, h in enumerate(content.tolist()):
                 if h not in seen:
                     seen.add(h)
                     new[k] = True
@@ -81,18 +81,48 @@ def run_batches(
             at = pa.array(owner)
             yield record_batch(schema, [
                 rows.column(0).take(at), rows.column(1).take(at), start - texts[owner], n,
-                as_signed(anchor), as_signed(h1), as_signed(h2), lists,
+                as_signed(anchor), as_signed(content), lists,
             ])
 
 
+def packed_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the one shuffle they go through."""
+    pack = zstandard.ZstdCompressor(level=6).compress
+    for batch in batches:
+        texts = batch.column(2).fill_null("").to_pylist()
+        yield record_batch(schema, [batch.column(0), batch.column(1), [pack(t.encode()) for t in texts]])
+
+
+def with_covers(docs: DataFrame, covers: DataFrame) -> DataFrame:
+    """doc_id, packed text and cover of every row; `covers` by doc_id and hash of the text."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ddl = f"doc_id {kind}, body bigint, packed binary"
+    pack = partial(packed_batches, schema=to_arrow_schema(StructType.fromDDL(ddl)))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("body"), "text").mapInArrow(pack, ddl)
+    of = covers.toDF("_id", "_body", "cover")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+    return rows.join(of, same, "left").select("doc_id", "packed", "cover")
+
+
+def unpacked_slices(batch: pa.RecordBatch, rows: int = 256):
+    """As `text_slices`, of packed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for begin in range(0, batch.num_rows, rows):
+        part = batch.slice(begin, rows)
+        texts = pa.array([unpack(t) for t in part.column(1).to_pylist()], pa.binary()).cast(pa.string())
+        yield from text_slices(pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(2), texts], names=["doc_id", "cover", "text"]
+        ))
+
+
 def kept_words(
     batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema, digest: bool
 ) -> Iterator[pa.RecordBatch]:
     """Takes the covered words out of each text; masks come as (start, mask) lists."""
     for batch in batches:
-        for rows, data, offsets in text_slices(batch):
+        for rows, data, offsets in unpacked_slices(batch):
             begin, end, texts = word_spans(data, offsets)
-            covers = rows.column(2).to_pylist()
+            covers = rows.column(1).to_pylist()
             out = []
             for k, cover in enumerate(covers):
                 b, e = begin[texts[k] : texts[k + 1]], end[texts[k] : texts[k + 1]]
@@ -139,32 +169,31 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     bits = spark.sparkContext.broadcast(repeated_cells(docs, partial(word_runs, window=window), size))
     kind = docs.schema["doc_id"].dataType.simpleString()
     body = F.xxhash64("text").alias("body")
-    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, h1 bigint, h2 bigint, windows array<bigint>"
+    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, content bigint, windows array<bigint>"
     run = partial(run_batches, bits=bits, size=size, window=window, schema=to_arrow_schema(StructType.fromDDL(ddl)))
     runs = written(docs.select("doc_id", body, "text").mapInArrow(run, ddl), "word-runs")
 
-    counted = runs.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.first("n").alias("n"))
-    full = counted.where("times > 1").select("h1", "h2", F.expr("shiftleft(1L, int(n)) - 1").alias("mask"))
-    mixed_anchors = runs.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("anchor")
+    # Runs are equal if anchor and content are, windows if anchor and hash are.
+    counted = runs.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.max("n").alias("n"))
+    full = counted.where("times > 1").select(
+        F.xxhash64("anchor").alias("of"), "content", F.expr("shiftleft(1L, int(n)) - 1").alias("mask")
+    )
+    several = runs.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a != b")
     single = (
-        runs.where(F.col("windows").isNotNull()).join(mixed_anchors, "anchor", "left_semi")
-        .select("h1", "h2", F.xxhash64("anchor").alias("of"), F.posexplode("windows").alias("k", "w"))
+        runs.where(F.col("windows").isNotNull()).join(several.select("anchor"), "anchor", "left_semi")
+        .select(F.xxhash64("anchor").alias("of"), "content", F.posexplode("windows").alias("k", "w"))
     )
-    shared = single.groupBy("w", "of").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("w", "of")
-    parts = (
-        single.join(shared, ["w", "of"])
-        .groupBy("h1", "h2").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
+    shared = (
+        single.groupBy("w", "of").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+        .where("a != b").select("w", "of")
     )
-    masks = full.unionByName(parts).groupBy("h1", "h2").agg(F.bit_or("mask").alias("mask"))
+    parts = single.join(shared, ["w", "of"]).groupBy("of", "content").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
+    masks = written(full.unionByName(parts).groupBy("of", "content").agg(F.bit_or("mask").alias("mask")), "word-masks")
     covers = (
-        runs.select("doc_id", "body", "start", "h1", "h2").join(masks, ["h1", "h2"])
+        runs.select("doc_id", "body", "start", F.xxhash64("anchor").alias("of"), "content")
+        .join(masks, ["of", "content"])
         .groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "mask")).alias("cover"))
-        .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), "cover")
     )
-    rows = docs.select("doc_id", "text", body)
-    joined = rows.join(
-        covers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body")), "left"
-    ).select("doc_id", "text", "cover")
     ddl = f"doc_id {kind}, n_words bigint, n_removed bigint, {'kept_sha256' if digest else 'kept'} string"
     keep = partial(kept_words, window=window, digest=digest, schema=to_arrow_schema(StructType.fromDDL(ddl)))
-    return joined.mapInArrow(keep, ddl)
+    return with_covers(docs, covers).mapInArrow(keep, ddl)

@@ -10,5 +10,5 @@ from ledgerlake.sources.scratch import scratch_dir
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """`df` as a Parquet table below spark.checkpoint.dir, read again."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
