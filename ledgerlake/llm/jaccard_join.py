@@ -38,17 +38,18 @@ from ledgerlake.llm.arrow import record_batch, text_slices
 from ledgerlake.llm.components import components
 from ledgerlake.llm.tables import written
 
-SHINGLE = 3
-TENTHS = 9  # similarity of 0.9, as whole tenths
+SHINGLE = 5
+TENTHS = 8  # similarity of 0.8, as whole tenths
 LISTED = 200_000  # most frequent shingles whose order is known; the others count as rare
 COUNTED_AT_ONCE = 2_000_000
-BYTES_PER_SHINGLE = 60  # of text, per shingle of a prefix
+SHORT_SET = 4_096
+BYTES_PER_SHINGLE = 30  # of text, per shingle that is counted
 
 
 class Sets:
     """Distinct shingles of some texts, one after the other, and which text each is of."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, shingle: int):
         upper = (data >= 65) & (data <= 90)
         data = data | (upper.astype(np.uint8) << 5)
         begin, end, texts = word_spans(data, offsets)
@@ -56,8 +57,8 @@ class Sets:
         words = np.diff(texts)
         owner = np.repeat(np.arange(len(words)), words)
         start = np.arange(len(owner))
-        last = np.minimum(start + SHINGLE, texts[owner + 1])
-        whole = (start + SHINGLE <= texts[owner + 1]) | (start == texts[owner])
+        last = np.minimum(start + shingle, texts[owner + 1])
+        whole = (start + shingle <= texts[owner + 1]) | (start == texts[owner])
         value, owner = spans.hashes(start[whole], last[whole]), owner[whole]
         order = np.lexsort((value, owner))
         value, owner = value[order], owner[order]
@@ -67,7 +68,7 @@ class Sets:
         self.ends = np.cumsum(self.sizes)
 
 
-def frequent_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def frequent_batches(batches: Iterator[pa.RecordBatch], shingle: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Shingles that several texts of a stretch of a task have."""
     held, n = [], 0
 
@@ -79,7 +80,7 @@ def frequent_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> It
 
     for batch in batches:
         for _, data, offsets in text_slices(batch):
-            held.append(Sets(data, offsets).value)
+            held.append(Sets(data, offsets, shingle).value)
             n += len(held[-1])
             if n >= COUNTED_AT_ONCE:
                 yield counted()
@@ -88,14 +89,14 @@ def frequent_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> It
         yield counted()
 
 
-def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequencies(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles and in how many texts they are, about.
 
     They only settle the order of shingles. Any order gives the same links; this one
     keeps what very many texts share out of the prefixes.
     """
     ddl = "shingle bigint, n bigint"
-    run = partial(frequent_batches, schema=to_arrow_schema(StructType.fromDDL(ddl)))
+    run = partial(frequent_batches, shingle=shingle, schema=to_arrow_schema(StructType.fromDDL(ddl)))
     table = (
         docs.select("text").mapInArrow(run, ddl).groupBy("shingle").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "shingle").limit(LISTED).toArrow()
@@ -106,9 +107,13 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefixes:
-    """The prefix of every set in the global order; `anchor` are its shingles."""
+    """The prefix of every set in the global order, and as many shingles again behind it.
 
-    def __init__(self, sets: Sets, listed: tuple[np.ndarray, np.ndarray]):
+    At most `spare` shingles of a set may be missing in a set that is linked to it;
+    the prefix is one longer. `anchor` are the shingles, in order of the sets.
+    """
+
+    def __init__(self, sets: Sets, listed: tuple[np.ndarray, np.ndarray], tenths: int):
         shingle, n = listed
         often = np.zeros(len(sets.value), np.int64)
         if len(shingle):
@@ -116,37 +121,58 @@ class Prefixes:
             often = np.where(shingle[at] == sets.value, n[at], 0)
         order = np.lexsort((sets.value, often, sets.owner))
         place = np.arange(len(order)) - (sets.ends - sets.sizes)[sets.owner]
-        size = sets.sizes[sets.owner]
-        inside = place < size - (TENTHS * size + 9) // 10 + 1
+        self.spare = sets.sizes - (tenths * sets.sizes + 9) // 10
+        inside = place < 2 * self.spare[sets.owner] + 1
         self.anchor, self.owner, self.place = sets.value[order][inside], sets.owner[inside], place[inside]
 
 
-def prefix_shingles(data: np.ndarray, offsets: np.ndarray, listed) -> Prefixes:
-    return Prefixes(Sets(data, offsets), listed.value)
+def packed_set(values: np.ndarray) -> bytes:
+    """Sorted hashes, of ordinary sets their first five bytes: 2^-40 for a wrong match of two."""
+    if len(values) > SHORT_SET:
+        return values.tobytes()
+    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def unpacked_set(data: pa.Scalar, n: int, short: bool) -> np.ndarray:
+    raw = np.frombuffer(data.as_buffer(), np.uint8)
+    values = raw.view(np.uint64) if n > SHORT_SET else None
+    if values is None:
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, 3:] = raw.reshape(n, 5)
+        return wide.view(">u8").ravel().astype(np.uint64)
+    return values >> np.uint64(24) if short else values
+
+
+def prefix_shingles(data: np.ndarray, offsets: np.ndarray, listed, shingle: int, tenths: int) -> Prefixes:
+    return Prefixes(Sets(data, offsets, shingle), listed.value, tenths)
 
 
 def document_batches(
-    batches: Iterator[pa.RecordBatch], listed, bits, size: int, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch], listed, bits, size: int, shingle: int, tenths: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     """Per text its set's size and hash, and if another text may share its prefix, prefix and set."""
     for batch in batches:
         for rows, data, offsets in text_slices(batch):
-            sets = Sets(data, offsets)
-            prefix = Prefixes(sets, listed.value)
+            sets = Sets(data, offsets, shingle)
+            prefix = Prefixes(sets, listed.value, tenths)
             many = rows.num_rows
             sums = np.zeros((2, many), np.uint64)
             np.add.at(sums[0], sets.owner, mixed(sets.value))
             np.add.at(sums[1], sets.owner, mixed(sets.value ^ np.uint64(0x5851F42D4C957F2D)))
+            front = prefix.place <= prefix.spare[prefix.owner]
             group = np.zeros(many, np.uint64)
-            np.add.at(group, prefix.owner, mixed(prefix.anchor + np.uint64(1)))
+            np.add.at(group, prefix.owner[front], mixed(prefix.anchor[front] + np.uint64(1)))
             group = mixed(group ^ sets.sizes.astype(np.uint64))
             kept = met_twice(prefix.anchor, bits.value, size)
+            alone = np.bincount(prefix.owner[~kept], minlength=many)
+            open_ = (alone <= prefix.spare) & (sets.sizes > 0)
+            kept &= front & open_[prefix.owner]
             owner, anchor, place = prefix.owner[kept], prefix.anchor[kept], prefix.place[kept]
             sizes = np.bincount(owner, minlength=many)
             ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
             content = [
-                sets.value[e - s : e].tobytes() if c else None
-                for e, s, c in zip(sets.ends.tolist(), sets.sizes.tolist(), sizes.tolist())
+                packed_set(sets.value[e - s : e]) if o else None
+                for e, s, o in zip(sets.ends.tolist(), sets.sizes.tolist(), open_.tolist())
             ]
             yield record_batch(schema, [
                 rows.column(0), sets.sizes, as_signed(sums[0]), as_signed(sums[1]), as_signed(group),
@@ -155,63 +181,75 @@ def document_batches(
             ])
 
 
-def verified_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def verified_batches(batches: Iterator[pa.RecordBatch], tenths: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(c.as_buffer(), np.uint64) for c in (a, b))
+        sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        for (n, m), a, b in zip(sizes, batch.column(4), batch.column(5)):
+            short = min(n, m) <= SHORT_SET
+            x, y = unpacked_set(a, n, short), unpacked_set(b, m, short)
             shared = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(10 * shared >= TENTHS * (len(x) + len(y) - shared))
+            good.append(10 * shared >= tenths * (n + m - shared))
         yield record_batch(schema, list(batch.filter(pa.array(good, pa.bool_())).columns[:2]))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def verified(pairs: DataFrame, sets: DataFrame, kind: str, tenths: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough, as a written table.
+
+    Pairs are written first: few of them are then broadcast by Spark, by their size.
+    """
     ddl = f"a {kind}, b {kind}"
-    run = partial(verified_batches, schema=to_arrow_schema(StructType.fromDDL(ddl)))
-    return (
-        pairs.join(nodes.select(F.col("id").alias("a"), F.col("content").alias("x")), "a")
-        .join(nodes.select(F.col("id").alias("b"), F.col("content").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(run, ddl)
+    run = partial(verified_batches, tenths=tenths, schema=to_arrow_schema(StructType.fromDDL(ddl)))
+    checked = (
+        written(pairs, "jaccard-pairs").join(sets.toDF("a", "n", "x"), "a").join(sets.toDF("b", "m", "y"), "b")
+        .select("a", "b", "n", "m", "x", "y").mapInArrow(run, ddl)
     )
+    return written(checked.distinct(), "jaccard-links")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
-    Words are lower-cased in A-Z; a text with one or two words is one shingle, one
-    without words or a null text has none, links with nothing and is a component of
+    Shingles have `shingle` words, a similarity of `tenths` tenths or more is a link.
+    Words are lower-cased in A-Z; a text with fewer words is one shingle, one without words or a null text has none, links with nothing and is a component of
     its own. Rows with the same set are linked; rows that repeat an id are the same
     document. A row without an id takes no part and has a null component. An empty
     table gives an empty result, further columns play no part.
 
-    Sets are compared by 64-bit hashes of their shingles. Copies are one node from the
+    Sets are compared by hashes of their shingles, 40 bits of them for sets of up to
+    4,096 and 64 beyond. Copies are one node from the
     start; no step emits the pairs within a group of similar texts that are already
     connected.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     broadcast = spark.sparkContext.broadcast
-    listed = broadcast(frequencies(docs))
+    listed = broadcast(frequencies(docs, shingle))
     size = sketch_size(docs, BYTES_PER_SHINGLE)
-    bits = broadcast(repeated_cells(docs, partial(prefix_shingles, listed=listed), size))
+    front = partial(prefix_shingles, listed=listed, shingle=shingle, tenths=tenths)
+    bits = broadcast(repeated_cells(docs, front, size))
     ddl = (
         f"doc_id {kind}, n bigint, s1 bigint, s2 bigint, g bigint,"
         " shingles array<bigint>, places array<bigint>, content binary"
     )
-    run = partial(document_batches, listed=listed, bits=bits, size=size, schema=to_arrow_schema(StructType.fromDDL(ddl)))
+    run = partial(
+        document_batches, listed=listed, bits=bits, size=size, shingle=shingle, tenths=tenths,
+        schema=to_arrow_schema(StructType.fromDDL(ddl)),
+    )
     rows = written(docs.select("doc_id", "text").mapInArrow(run, ddl), "shingle-sets")
 
     usable = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = usable.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"))
+    kept = usable.where(F.col("content").isNotNull())
     nodes = written(
-        usable.where(F.col("content").isNotNull())
+        kept.select("doc_id", "n", "s1", "s2", "g", "shingles", "places")
         .join(classes, ["s1", "s2"]).where(F.col("doc_id") == F.col("id"))
-        .select("id", "n", "g", "shingles", "places", "content").dropDuplicates(["id", "n", "g"]),
+        .select("id", "n", "g", "shingles", "places"),
         "shingle-nodes",
     )
+    sets = kept.select("doc_id", "n", "content")
     groups = nodes.groupBy("g").agg(F.min("id").alias("gid"))
-    members = written(nodes.select("id", "n", "g").join(groups, "g"), "shingle-groups")
+    members = written(nodes.select("id", "n", "g").distinct().join(groups, "g"), "shingle-groups")
     posts = written(
         nodes.join(groups, (nodes["g"] == groups["g"]) & (F.col("id") == F.col("gid")))
         .select("gid", "n", F.explode(F.arrays_zip("shingles", "places")).alias("p"))
@@ -227,7 +265,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = nearest.select(F.col("gid").alias("a"), F.col("hub").alias("b")).unionByName(
         members.where("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
     )
-    links = written(verified(pairs, nodes, kind), "jaccard-links")
+    links = verified(pairs, sets, kind, tenths)
     labels = components(nodes.select("id").distinct(), links)
 
     labelled = members.join(labels, "id")
@@ -237,12 +275,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     open_posts = written(open_posts.join(split.select("shingle"), "shingle", "left_semi"), "open-posts")
     left = open_posts.select([F.col(c).alias(f"{c}_a") if c != "shingle" else F.col(c) for c in open_posts.columns])
     right = open_posts.select([F.col(c).alias(f"{c}_b") if c != "shingle" else F.col(c) for c in open_posts.columns])
-    need = F.expr(f"({TENTHS} * (n_a + n_b) + {TENTHS + 9}) div {TENTHS + 10}")
+    need = F.expr(f"({tenths} * (n_a + n_b) + {tenths + 9}) div {tenths + 10}")
     behind = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     cell_pairs = (
         left.join(right, "shingle")
         .where("label_a < label_b")
-        .where(F.expr(f"10 * least(n_a, n_b) >= {TENTHS} * greatest(n_a, n_b)"))
+        .where(F.expr(f"10 * least(n_a, n_b) >= {tenths} * greatest(n_a, n_b)"))
         # Shingles in front of the first shared one can't be shared; any other shared one
         # only makes this bound smaller, and the pair comes by its first one as well.
         .where(behind >= need)
@@ -254,7 +292,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .join(of.toDF("gid_b", "label_b", "b"), ["gid_b", "label_b"])
         .select("a", "b").distinct()
     )
-    more = written(verified(open_pairs, nodes, kind), "jaccard-links")
+    more = verified(open_pairs, sets, kind, tenths)
     relabelled = components(
         labels.select(F.col("label").alias("id")).distinct(),
         more.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
@@ -271,3 +309,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return out.unionByName(
         rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     )
+
+
+def one_of_each_component(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
+    """The document with the smallest id of each component; rows without an id all stay.
+
+    Of rows that repeat an id one stays.
+    """
+    first = (
+        jaccard_components(docs, shingle, tenths).where("doc_id = component_id").select("doc_id").distinct()
+    )
+    named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -29,7 +29,7 @@ def vocabulary_path() -> str:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=3, tenths=9)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
