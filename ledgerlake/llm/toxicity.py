@@ -281,16 +281,20 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every text."""
+def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All columns of `docs` and the score of its text."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import DoubleType, StructField, StructType
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, score double"
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    run = partial(score_batches, model=shared, schema=to_arrow_schema(StructType.fromDDL(schema)))
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    run = partial(score_batches, model=shared, schema=to_arrow_schema(schema))
+    return docs.select("*", F.col("text").alias("_scored")).mapInArrow(run, schema)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` with a score below the threshold, see `toxicity`."""
+    return with_scores(docs, toxicity_model(docs, labels), "_score").where(F.col("_score") < threshold).drop("_score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -304,7 +308,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     null held_out. Further columns play no part. What is broadcast, the models, is
     bounded by the sample; the corpus counts cover every text.
     """
-    scored = toxicity_scores(docs, toxicity_model(docs, labels))
+    scored = with_scores(docs.select("doc_id", "text"), toxicity_model(docs, labels))
     return scored.select(
         "doc_id", (fold("doc_id") == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
