@@ -31,12 +31,12 @@ from ledgerlake.llm.anchors import (
 )
 from ledgerlake.llm.arrow import record_batch, text_slices
 from ledgerlake.llm.deep_shallow import sorted_groups
-from ledgerlake.llm.substrings import covered
+from ledgerlake.llm.substrings import covered, unpacked_slices, with_covers
 from ledgerlake.llm.tables import written
 
 LENGTH = 50
-GRAM = 12
-BYTES_PER_ANCHOR = 20
+GRAM = 24
+BYTES_PER_ANCHOR = 14
 REMEMBERED = 300_000
 SORTED_AT_ONCE = 4 << 20  # bytes of runs that one task sorts together, about
 HOT_RUNS = 100_000  # different runs of one anchor, beyond which they are dealt out singly
@@ -62,7 +62,7 @@ def run_batches(
             if not len(start):
                 continue
             end = start + n + length - 1
-            h1, h2 = as_signed(Spans(units, 0).hashes(start, end)), as_signed(Spans(units, 1).hashes(start, end))
+            h1 = as_signed(Spans(units, 0).hashes(start, end))
             if len(seen) > REMEMBERED:
                 seen.clear()
             raw = data.tobytes()
@@ -74,7 +74,7 @@ def run_batches(
             at = pa.array(owner)
             yield record_batch(schema, [
                 rows.column(0).take(at), rows.column(1).take(at), start - offsets[owner], n,
-                as_signed(anchor), h1, h2, content,
+                as_signed(anchor), h1, content,
             ])
 
 
@@ -95,7 +95,7 @@ def sorted_batches(batches: Iterator[pa.RecordBatch], length: int, schema: pa.Sc
     least = np.full(int(group.max()) + 1, NO_ID, np.int64)
     np.minimum.at(least, group, own)
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(least[group]))
-    columns = [table[c].combine_chunks() for c in ("h1", "h2")]
+    columns = [table[c].combine_chunks() for c in ("anchor", "h1")]
     whole = pa.RecordBatch.from_arrays([*columns, lists], schema=schema)
     for at in range(0, whole.num_rows, 10_000):
         yield whole.slice(at, 10_000)
@@ -105,9 +105,9 @@ def kept_bytes(
     batches: Iterator[pa.RecordBatch], length: int, schema: pa.Schema, digest: bool
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, data, offsets in text_slices(batch):
+        for rows, data, offsets in unpacked_slices(batch):
             out = []
-            for k, cover in enumerate(rows.column(2).to_pylist()):
+            for k, cover in enumerate(rows.column(1).to_pylist()):
                 own = data[offsets[k] : offsets[k + 1]]
                 gone = covered(cover, len(own), length)
                 spans = int((gone & ~np.append(False, gone[:-1])[: len(gone)]).sum())
@@ -117,7 +117,7 @@ def kept_bytes(
 
 
 def smallest_ids(runs: DataFrame, length: int) -> DataFrame:
-    """h1, h2 and per string of the run the smallest id, for runs with more than one anchor mate.
+    """anchor, h1 and per string of the run the smallest id, where an anchor has several runs.
 
     An anchor with very many different runs, say a passage in many surroundings, is
     taken apart: its strings are made distinct first and dealt out one by one.
@@ -126,38 +126,38 @@ def smallest_ids(runs: DataFrame, length: int) -> DataFrame:
         runs.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
         .where("a != b").select("anchor")
     )
-    bytes_of = (
-        runs.where(F.col("content").isNotNull()).join(several, "anchor", "left_semi")
-        .groupBy("anchor", "h1", "h2").agg(F.first("content").alias("content"))
+    first = runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"))
+    distinct = written(
+        runs.where(F.col("content").isNotNull()).select("anchor", "h1", "content").join(several, "anchor", "left_semi")
+        .groupBy("anchor", "h1").agg(F.first("content").alias("content"))
+        .join(first, ["anchor", "h1"]),
+        "byte-runs-distinct",
     )
-    ids = runs.groupBy("h1", "h2").agg(F.min("id").alias("first"))
-    distinct = written(bytes_of.join(ids, ["h1", "h2"]), "byte-runs-distinct")
     hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_RUNS).select("anchor")
     total = distinct.agg(F.sum(F.length("content"))).first()[0] or 0
     tasks = max(1, total // SORTED_AT_ONCE)
-    ddl = "h1 bigint, h2 bigint, ids array<bigint>"
+    ddl = "anchor bigint, h1 bigint, ids array<bigint>"
     sort = partial(sorted_batches, length=length, schema=to_arrow_schema(StructType.fromDDL(ddl)))
 
     single = (
         distinct.join(hot, "anchor", "left_semi")
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.length("content") - (length - 1))))
-        .select("h1", "h2", "k", "first", F.expr(f"substring(content, k, {length})").alias("content"))
+        .select("anchor", "h1", "k", "first", F.expr(f"substring(content, k, {length})").alias("content"))
     )
     names = {"s1": F.xxhash64("content"), "s2": F.xxhash64(F.lit(1), "content")}
-    strings = single.groupBy("content").agg(F.min("first").alias("first")).select(
-        F.xxhash64("content").alias("key"), names["s1"].alias("h1"), names["s2"].alias("h2"), "first", "content"
-    )
-    dealt = (
-        distinct.join(hot, "anchor", "left_anti").select(F.col("anchor").alias("key"), "h1", "h2", "first", "content")
-        .unionByName(strings).repartition(int(tasks), "key")
+    strings = (
+        single.groupBy("content").agg(F.min("first").alias("first"))
+        .select(names["s1"].alias("anchor"), names["s2"].alias("h1"), "content", "first")
     )
-    found = written(dealt.select("h1", "h2", "first", "content").mapInArrow(sort, ddl), "byte-runs-sorted")
-    whole = found.join(distinct.join(hot, "anchor", "left_anti").select("h1", "h2"), ["h1", "h2"], "left_semi")
+    ordinary = distinct.join(hot, "anchor", "left_anti")
+    dealt = ordinary.unionByName(strings).repartition(int(tasks), "anchor")
+    found = written(dealt.mapInArrow(sort, ddl), "byte-runs-sorted")
+    whole = found.join(ordinary.select("anchor", "h1"), ["anchor", "h1"], "left_semi")
     apart = (
-        single.withColumns(names).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "k", "s1", "s2")
-        .join(found, (F.col("s1") == F.col("h1")) & (F.col("s2") == F.col("h2")))
-        .groupBy("r1", "r2").agg(F.sort_array(F.collect_list(F.struct("k", F.col("ids")[0].alias("id")))).alias("l"))
-        .select(F.col("r1").alias("h1"), F.col("r2").alias("h2"), F.col("l.id").alias("ids"))
+        single.withColumns(names).select("k", "s1", "s2", F.col("anchor").alias("r"), F.col("h1").alias("r1"))
+        .join(found, (F.col("s1") == F.col("anchor")) & (F.col("s2") == F.col("h1")))
+        .groupBy("r", "r1").agg(F.sort_array(F.collect_list(F.struct("k", F.col("ids")[0].alias("id")))).alias("l"))
+        .select(F.col("r").alias("anchor"), F.col("r1").alias("h1"), F.col("l.id").alias("ids"))
     )
     return whole.unionByName(apart)
 
@@ -180,28 +180,25 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, digest: bool = False) ->
     bits = spark.sparkContext.broadcast(repeated_cells(docs, partial(byte_runs, length=length), size))
     kind = docs.schema["doc_id"].dataType.simpleString()
     body = F.xxhash64("text").alias("body")
-    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, h1 bigint, h2 bigint, content binary"
+    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, h1 bigint, content binary"
     run = partial(run_batches, bits=bits, size=size, length=length, schema=to_arrow_schema(StructType.fromDDL(ddl)))
     id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
-    runs = written(docs.select("doc_id", body, "text").mapInArrow(run, ddl).select("*", id_), "byte-runs")
+    runs = written(docs.select("doc_id", body, "text").mapInArrow(run, ddl), "byte-runs").select("*", id_)
 
-    ids = runs.groupBy("h1", "h2").agg(F.min("id").alias("first"))
     strings = smallest_ids(runs, length)
-    known = ids.join(strings, ["h1", "h2"], "left").where("ids is not null or first < 9223372036854775807")
+    first = (
+        runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .where("first < last").select("anchor", "h1", "first")
+    )
+    known = written(first.join(strings, ["anchor", "h1"], "full_outer"), "byte-runs-known")
     bit = "aggregate(ids, struct(0L as m, 0 as k), (a, x) -> struct(a.m | if(x < id, shiftleft(1L, a.k), 0L) as m, a.k + 1 as k), a -> a.m)"
     masks = (
-        runs.select("doc_id", "body", "id", "start", "n", "h1", "h2").join(known, ["h1", "h2"])
+        runs.select("doc_id", "body", "id", "start", "n", "anchor", "h1").join(known, ["anchor", "h1"])
         .select("doc_id", "body", "start", F.expr(f"if(first < id, shiftleft(1L, int(n)) - 1, if(ids is null, 0L, {bit}))").alias("mask"))
         .where("mask != 0")
     )
-    covers = (
-        masks.groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "mask")).alias("cover"))
-        .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), "cover")
-    )
-    joined = docs.select("doc_id", "text", body).join(
-        covers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body")), "left"
-    ).select("doc_id", "text", "cover")
+    covers = masks.groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "mask")).alias("cover"))
     last = "kept_sha256 string" if digest else "kept binary"
     ddl = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {last}"
     keep = partial(kept_bytes, length=length, digest=digest, schema=to_arrow_schema(StructType.fromDDL(ddl)))
-    return joined.mapInArrow(keep, ddl)
+    return with_covers(docs, covers).mapInArrow(keep, ddl)
