@@ -147,8 +147,8 @@ def _latest(source: str, keys: tuple[str, ...], equal: str = "=") -> str:
 _WEEKDAY = """CASE dayofweek(date) WHEN 0 THEN 'DOMINGO' WHEN 1 THEN 'SEGUNDA'
            WHEN 2 THEN 'TERCA' WHEN 3 THEN 'QUARTA' WHEN 4 THEN 'QUINTA'
            WHEN 5 THEN 'SEXTA' WHEN 6 THEN 'SABADO' END AS fbc_dia_compra"""
-_PERIOD = """CASE WHEN hour BETWEEN 0 AND 6 THEN 'MADRUGADA' WHEN hour BETWEEN 7 AND 12 THEN 'MANHA'
-           WHEN hour BETWEEN 13 AND 18 THEN 'TARDE' WHEN hour BETWEEN 19 AND 24 THEN 'NOITE'
+_PERIOD = """CASE WHEN hour <= 6 THEN 'MADRUGADA' WHEN hour <= 12 THEN 'MANHA'
+           WHEN hour <= 18 THEN 'TARDE' WHEN hour <= 24 THEN 'NOITE'
            END AS fbc_periodo_compra"""
 _PAYMENT = """CASE payment_method WHEN 'Cash' THEN 'DINHEIRO' WHEN 'Credit Card' THEN 'CARTAO'
            END AS fbc_metodo_pagamento"""
@@ -263,19 +263,18 @@ def _count(tb_name: str, source: str) -> str:
     )
 
 
-def _control(transactions: str, stage: str) -> str:
+def _control(stage: str) -> str:
     parts = []
     for subject, raw in _RAW.items():
         trusted = _trusted(subject)
-        keyed = f"SELECT * FROM ({trusted}) WHERE {_KEYS[subject]} IS NOT NULL"
         parts += [
             _count(f"tb_raw_{subject}", raw),
             _count(f"tb_trusted_{subject}", trusted),
-            _count(f"tb_refined_data_viz_{subject}", keyed),
+            _count(f"tb_refined_data_viz_{subject}", _latest(trusted, (_KEYS[subject],))),
         ]
     parts += [
         _count("tb_refined_stage", stage),
-        _count("tb_refined_book", f"SELECT DISTINCT customer_id FROM ({transactions})"),
+        _count("tb_refined_book", f"SELECT customer_id, ref FROM ({stage}) GROUP BY ALL"),
     ]
     return "\nUNION ALL\n".join(parts)
 
@@ -297,6 +296,8 @@ _DEDUP_TWICE = f"""
 
 # A run removes exact duplicates of the landing rows before it makes the stage.
 _DISTINCT_TRANSACTIONS = _trusted("transactions")
+_RUN_BOOK = _BOOK_FULL.replace(_TRANSACTIONS, _DISTINCT_TRANSACTIONS)
+_RUN_CONTROL = _control(_STAGE.replace(_TRANSACTIONS, _DISTINCT_TRANSACTIONS))
 
 ORACLE: dict[str, str] = {
     **{f"trusted_{subject}": _trusted(subject) for subject in _RAW},
@@ -342,7 +343,15 @@ ORACLE: dict[str, str] = {
     "book_full": _BOOK_FULL,
     "book_full_from_stage": _BOOK_FULL,
     "book_dictionary": _dictionary(),
-    "control_all_layers": _control(_TRANSACTIONS, _STAGE),
+    "control_all_layers": _control(_STAGE),
+    "refined_views": f"""
+    SELECT c.country, t.payment_method, CAST({DT_PROC} AS BIGINT) AS dt_proc,
+           CAST(count(*) AS BIGINT) AS lines,
+           CAST(count(DISTINCT t.invoice_id) AS BIGINT) AS invoices,
+           CAST(sum(t.quantity) AS BIGINT) AS items
+    FROM ({_latest(_trusted("transactions"), ("invoice_id",))}) t
+    JOIN ({_latest(_trusted("customers"), ("customer_id",))}) c USING (customer_id)
+    GROUP BY ALL""",
     **{
         f"ingest_csv_{subject}": _ingested(subject) for subject in _RAW if subject != "transactions"
     },
@@ -353,6 +362,8 @@ ORACLE: dict[str, str] = {
     "landing_incremental": f"""
     SELECT *, CAST({FIRST_LOAD} AS BIGINT) AS dt_proc FROM ({_RAW["products"]})
     UNION ALL SELECT *, CAST({SECOND_LOAD} AS BIGINT) AS dt_proc FROM ({_RAW["products"]})""",
-    "monthly_run_control": _control(_DISTINCT_TRANSACTIONS, _DISTINCT_TRANSACTIONS),
-    "monthly_run_book": _BOOK_FULL.replace(_TRANSACTIONS, _DISTINCT_TRANSACTIONS),
+    "monthly_run_control": _RUN_CONTROL,
+    "monthly_run_book": _RUN_BOOK,
+    "monthly_run_repeated": _RUN_BOOK,
+    "monthly_run_repeated_control": _RUN_CONTROL,
 }

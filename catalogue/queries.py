@@ -18,7 +18,7 @@ from catalogue.retail import (
 )
 from ledgerlake.functions.calendar import reference_period_columns
 from ledgerlake.functions.features import DAY_PERIODS, banded
-from ledgerlake.operators.audit import load_audit
+from ledgerlake.operators.audit import load_audit, read_audit
 from ledgerlake.operators.book import (
     AMOUNT_MEASURES,
     AVG,
@@ -31,13 +31,18 @@ from ledgerlake.operators.book import (
 )
 from ledgerlake.operators.dedup import exact_rows, latest_load, latest_version, restamp
 from ledgerlake.operators.first_line import first_lines, mark_first_lines
-from ledgerlake.operators.heavy import heavy_keys
 from ledgerlake.operators.ingest import ingest_subject, stamp_load
 from ledgerlake.operators.stage import book_lines, categories, flags, stage_features
 from ledgerlake.operators.standardise import standardise
 from ledgerlake.operators.windows import recency_windows
 from ledgerlake.plans.monthly_run import run_month
-from ledgerlake.sources.layers import LakePaths, append_table, read_table, spread_by
+from ledgerlake.sources.layers import (
+    LakePaths,
+    append_table,
+    read_table,
+    register_layer,
+    spread_by,
+)
 from ledgerlake.sources.scratch import scratch_dir
 from ledgerlake.sources.subjects import SUBJECTS
 from ledgerlake.streaming.landing import land_new_files
@@ -129,16 +134,9 @@ def _marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir).select(*columns)
 
 
-def _heavy_orders(spark: SparkSession, sf_dir: str) -> list:
-    """Invoices with very many lines, measured on the one column of the lines themselves."""
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string"))
-    return heavy_keys(lines, "l_orderkey")
-
-
 def txn_first_line_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_first_lines(
-        _marker_lines(spark, sf_dir), "invoice_id", ("customer_id", "line"),
-        "fvl_qtd_transacoes", _heavy_orders(spark, sf_dir),
+        _marker_lines(spark, sf_dir), "invoice_id", ("customer_id", "line"), "fvl_qtd_transacoes"
     )
 
 
@@ -147,9 +145,7 @@ def txn_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_features(
-        transactions(spark, sf_dir), DT_PROC, AS_OF, _heavy_orders(spark, sf_dir)
-    )
+    return stage_features(transactions(spark, sf_dir), DT_PROC, AS_OF)
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +180,8 @@ def rounded(book: DataFrame, spec: BookSpec) -> DataFrame:
 
 
 def book(spark: SparkSession, sf_dir: str, spec: BookSpec = BOOK) -> DataFrame:
-    lines = book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF)
+    count_sales = any(measure == "fvl_qtd_transacoes" for measure, _ in spec.measures)
+    lines = book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF, count_sales=count_sales)
     return rounded(feature_book(recency_windows(lines, AS_OF), spec), spec)
 
 
@@ -200,26 +197,56 @@ def book_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Control, round trips, whole runs
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    append_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def control_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = []
-    for subject, raw in RAW.items():
-        standardised = trusted(spark, sf_dir, subject)
-        snapshot = latest_load(standardised, SUBJECTS[subject].key)
+    """Counts of the layers themselves. Each is built once; the next one reads what was written."""
+    paths = LakePaths(scratch_dir(spark, "control"))
+    rows, raw_tables = [], {}
+    for subject, make_raw in RAW.items():
+        spec = SUBJECTS[subject]
+        raw = _written(stamp_load(make_raw(spark, sf_dir), DT_PROC), paths.raw(subject))
+        standardised = _written(standardise(raw, spec, DT_PROC, AS_OF), paths.trusted(subject))
+        snapshot = latest_load(standardised, spec.key)
         rows += [
-            load_audit(raw(spark, sf_dir), f"tb_raw_{subject}", DT_PROC),
+            load_audit(raw, f"tb_raw_{subject}", DT_PROC),
             load_audit(standardised, f"tb_trusted_{subject}", DT_PROC),
             load_audit(snapshot, f"tb_refined_data_viz_{subject}", DT_PROC),
         ]
-    lines = transactions(spark, sf_dir)
-    staged = book_lines(lines, DT_PROC, AS_OF)
-    customers = staged.select("customer_id", "ref").distinct()
+        raw_tables[subject] = raw
+    lines = raw_tables["transactions"].select(
+        *SUBJECTS["transactions"].trusted_columns(None), "dt_proc"
+    )
+    staged = _written(stage_features(lines, DT_PROC, AS_OF), paths.stage)
     rows += [
-        load_audit(lines, "tb_refined_stage", DT_PROC),
-        load_audit(customers, "tb_refined_book", DT_PROC),
+        load_audit(staged, "tb_refined_stage", DT_PROC),
+        load_audit(feature_book(recency_windows(staged, AS_OF)), "tb_refined_book", DT_PROC),
     ]
     return reduce(DataFrame.unionByName, rows)
 
 
+def refined_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One SQL question over layers that are registered as views."""
+    paths = LakePaths(scratch_dir(spark, "views"))
+    for subject in ("customers", "transactions"):
+        snapshot = latest_load(trusted(spark, sf_dir, subject), SUBJECTS[subject].key)
+        append_table(restamp(snapshot, DT_PROC), paths.snapshot(subject), ("dt_proc",))
+    register_layer(
+        spark, {f"tb_refined_{s}": paths.snapshot(s) for s in ("customers", "transactions")}
+    )
+    return spark.sql(
+        """
+        SELECT c.country, t.payment_method, t.dt_proc, count(*) AS lines,
+               count(DISTINCT t.invoice_id) AS invoices, sum(t.quantity) AS items
+        FROM tb_refined_transactions t JOIN tb_refined_customers c USING (customer_id)
+        GROUP BY ALL
+        """
+    )
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).csv(path)
 
@@ -256,24 +283,25 @@ def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths.raw("products"))
 
 
-def _lake_after_run(spark: SparkSession, sf_dir: str) -> LakePaths:
+def _lake_after_run(spark: SparkSession, sf_dir: str, runs: int = 1) -> LakePaths:
     paths = LakePaths(scratch_dir(spark, "lake"))
     for subject, raw in RAW.items():
         _write_csv(raw(spark, sf_dir), paths.landing(subject))
-    run_month(spark, paths, DT_PROC, AS_OF)
+    for _ in range(runs):
+        run_month(spark, paths, DT_PROC, AS_OF)
     return paths
 
 
-def monthly_run_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly_run_control(spark: SparkSession, sf_dir: str, runs: int = 1) -> DataFrame:
     """Control rows of all layers after a whole run from CSV files to the book."""
-    paths = _lake_after_run(spark, sf_dir)
-    layers = [spark.read.parquet(paths.control(x)) for x in ("raw", "trusted", "refined")]
+    paths = _lake_after_run(spark, sf_dir, runs)
+    layers = [read_audit(spark, paths.control(x)) for x in ("raw", "trusted", "refined")]
     return reduce(DataFrame.unionByName, layers)
 
 
-def monthly_run_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _lake_after_run(spark, sf_dir)
-    return rounded(spark.read.parquet(paths.book), BOOK)
+def monthly_run_book(spark: SparkSession, sf_dir: str, runs: int = 1) -> DataFrame:
+    paths = _lake_after_run(spark, sf_dir, runs)
+    return rounded(read_table(spark, paths.book, DT_PROC).drop("dt_proc"), BOOK)
 
 
 BOOK_PARTS: dict[str, tuple[str, Sequence[str]]] = {
@@ -316,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "book_full_from_stage": book_from_stage,
     "book_dictionary": book_dictionary,
     "control_all_layers": control_all_layers,
+    "refined_views": refined_views,
     **{
         f"ingest_csv_{subject}": partial(ingest_csv_roundtrip, subject=subject)
         for subject in RAW
@@ -326,4 +355,6 @@ QUERIES: dict[str, Query] = {
     "landing_incremental": landing_incremental,
     "monthly_run_control": monthly_run_control,
     "monthly_run_book": monthly_run_book,
+    "monthly_run_repeated": partial(monthly_run_book, runs=2),
+    "monthly_run_repeated_control": partial(monthly_run_control, runs=2),
 }

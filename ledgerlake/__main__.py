@@ -26,6 +26,10 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--subjects", nargs="+", choices=list(SUBJECTS), default=list(SUBJECTS))
     parser.add_argument("--landing", choices=("batch", "stream"), default="batch")
     parser.add_argument("--clean", choices=("off", "archive", "delete"), default="off")
+    parser.add_argument(
+        "--on-bad-row", choices=("FAILFAST", "PERMISSIVE", "DROPMALFORMED", "reject"),
+        default="FAILFAST",
+    )
     parser.add_argument("--dedup", choices=("business", "with_load"), default="business")
     parser.add_argument("--loads", choices=("all", "new"), default="all")
     parser.add_argument("--snapshots", choices=("run", "newest", "all"))
@@ -39,6 +43,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         steps=chosen.steps,
         landing=chosen.landing,
         clean=chosen.clean,
+        on_bad_row=chosen.on_bad_row,
         dedup=chosen.dedup,
         loads=chosen.loads,
         snapshots=chosen.snapshots or ("run" if "refined" in chosen.steps else "newest"),

@@ -34,7 +34,19 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def write_audit(rows: DataFrame | Iterable[DataFrame], path: str) -> None:
-    """Append control rows as one small file."""
+    """Control rows as small files, one row per table and load: a later one replaces it."""
     if not isinstance(rows, DataFrame):
         rows = reduce(DataFrame.unionByName, rows)
-    rows.coalesce(1).write.mode("append").parquet(path)
+    (
+        rows.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("tb_name", "dt_proc")
+        .parquet(path)
+    )
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CONTROL_SCHEMA).parquet(path).select(
+        "tb_name", "dt_proc", "qtd_registros"
+    )

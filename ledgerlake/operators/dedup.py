@@ -19,20 +19,41 @@ def exact_rows(df: DataFrame, dedup: str = "business", version: str = "dt_proc")
     raise ValueError(f"unknown dedup mode {dedup!r}")
 
 
+# A stamp and its width share one bigint in `latest_version`, which leaves room for 17 digits.
+MAX_STAMP_DIGITS = 17
+_WIDTH = 32
+
+
 def _stamp(df: DataFrame, version: str) -> Column:
     """Load stamps as numbers where they are strings of digits.
 
     A maximum over a number is kept in a hash table; one over a string would
-    make Spark sort all rows by key, before the shuffle and after it.
+    make Spark sort all rows by key, before the shuffle and after it. A string
+    that is anything else stops the query, whatever the ANSI setting.
     """
     stamp = F.col(version)
-    return stamp.cast("bigint") if dict(df.dtypes)[version] == "string" else stamp
+    if dict(df.dtypes)[version] != "string":
+        return stamp
+    no_digits_left = F.translate(stamp, "0123456789", "") == ""
+    is_number = no_digits_left & F.length(stamp).between(1, MAX_STAMP_DIGITS)
+    refused = F.raise_error(F.concat(F.lit("load stamp is not a string of digits: "), stamp))
+    return F.when(stamp.isNull() | is_number, stamp.try_cast("bigint")).otherwise(
+        refused.cast("bigint")
+    )
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: str = "dt_proc") -> DataFrame:
-    """One row per key with its newest load stamp in `newest_version`."""
-    newest = F.max(_stamp(df, version)).cast(df.schema[version].dataType)
-    return df.groupBy(*keys).agg(newest.alias("newest_version"))
+    """One row per key with its newest load stamp in `newest_version`, as it was written.
+
+    Of stamps that are the same number the one with more leading zeros counts as newer.
+    """
+    if dict(df.dtypes)[version] != "string":
+        return df.groupBy(*keys).agg(F.max(version).alias("newest_version"))
+    with_width = _stamp(df, version) * _WIDTH + F.length(version)
+    newest = df.groupBy(*keys).agg(F.max(with_width).alias("_newest"))
+    number = F.expr(f"CAST(_newest DIV {_WIDTH} AS STRING)")
+    width = F.expr(f"CAST(_newest % {_WIDTH} AS INT)")
+    return newest.select(*keys, F.lpad(number, width, F.lit("0")).alias("newest_version"))
 
 
 def latest_load(
@@ -52,7 +73,8 @@ def latest_load(
     `strategy="rank"` needs one scan and one shuffle, but all newest rows of a
     key meet in one task: only for keys known to have few rows.
 
-    The version is a number, a date, a timestamp or a string of digits.
+    The version is a number, a date, a timestamp or a string of up to 17 digits, which
+    is compared as a number; another string is an error.
 
     Rows with a NULL key part are dropped, or with `null_keys="keep"` form a key
     of their own. Rows whose key has no version at all are dropped in any case.

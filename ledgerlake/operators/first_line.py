@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from ledgerlake.operators.heavy import is_heavy
-
-COPIES_PER_TASK_STEP = 1_000_000
-
 
 def line_order(df: DataFrame, invoice: str, order_by: Sequence[str]) -> list[Column]:
     """`order_by` with NULLs last, then all other columns.
@@ -42,53 +37,25 @@ def first_lines(df: DataFrame, invoice: str, order_by: Sequence[str]) -> DataFra
 
 
 def mark_first_lines(
-    df: DataFrame,
-    invoice: str,
-    order_by: Sequence[str],
-    marker: str,
-    heavy_invoices: Sequence[Any] = (),
+    df: DataFrame, invoice: str, order_by: Sequence[str], marker: str
 ) -> DataFrame:
     """All lines, with 1 in `marker` on the first line of each invoice and NULL on the others.
 
-    Invoices in `heavy_invoices` do not go through a window over all their
-    lines. Their first lines are found with `first_lines`, one copy of each is
-    taken out of the counted distinct lines, and the rest is written out again
-    in bounded steps. The result is the same multiset of rows.
-    """
-    heavy = list(heavy_invoices)
-    ordinary = df.where(~is_heavy(invoice, heavy)) if heavy else df
-    number = F.row_number().over(_per_invoice(df, invoice, order_by))
-    marked = ordinary.withColumn(marker, F.when(number == 1, 1))
-    if not heavy:
-        return marked
+    One plan for invoices of every size. The lines of an invoice are first numbered within
+    the input partition they come from, so that a group is never larger than such a
+    partition. The firsts of an invoice, one per input partition, then meet and the
+    very first of them is marked; the other lines are shuffled in the groups they had. Lines
+    pass unchanged: signed zeros, NaN and exact copies come out as they came in.
 
-    lines = df.where(is_heavy(invoice, heavy))
-    first = first_lines(lines, invoice, order_by)
-    others = (
-        lines.withColumn("_n", F.lit(1))
-        .unionByName(first.withColumn("_n", F.lit(-1)))
-        .groupBy(*df.columns)
-        .agg(F.sum("_n").alias("_n"))
-        .where("_n > 0")
-    )
-    return marked.unionByName(first.withColumn(marker, F.lit(1))).unionByName(
-        repeat_rows(others, "_n", COPIES_PER_TASK_STEP).withColumn(marker, F.lit(None).cast("int"))
-    )
-
-
-def repeat_rows(df: DataFrame, times: str, step: int) -> DataFrame:
-    """Each row `times` times, without that column.
-
-    A large count is first cut into steps of bounded size that are spread over
-    the cluster, so that no task writes out all copies of one row.
+    The number of an input partition does not depend on the order of its rows, so a task that
+    is computed again puts every line into the same group.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns = [name for name in df.columns if name != times]
-    last_step = F.expr(f"(`{times}` - 1) div {step}")
-    steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0), last_step)))
-    size = F.least(F.lit(step), F.col(times) - F.col("_step") * step)
-    return (
-        steps.repartition(partitions, "_step", *columns)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
-        .select(*columns)
+    order = line_order(df, invoice, order_by)
+    per_part = Window.partitionBy(invoice, "_part").orderBy(*order)
+    numbered = df.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_first", F.row_number().over(per_part) == 1
     )
+    grouped = numbered.withColumn("_group", F.when(~F.col("_first"), F.col("_part")))
+    per_group = Window.partitionBy(invoice, "_group").orderBy(*order)
+    is_first = F.col("_first") & (F.row_number().over(per_group) == 1)
+    return grouped.withColumn(marker, F.when(is_first, 1)).drop("_part", "_first", "_group")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +19,6 @@ from ledgerlake.functions.features import (
     weekday_label,
 )
 from ledgerlake.operators.first_line import first_lines, mark_first_lines
-from ledgerlake.operators.heavy import heavy_keys
 
 # The columns of a transaction line that the stage depends on, and the order of
 # the lines of an invoice when `line` is there to tell them apart.
@@ -68,36 +65,33 @@ def _stage_columns(dt_proc: str, as_of: date) -> list[Column]:
     ]
 
 
-def stage_features(
-    transactions: DataFrame,
-    dt_proc: str,
-    as_of: date,
-    heavy_invoices: Sequence[Any] | None = None,
-) -> DataFrame:
+def stage_features(transactions: DataFrame, dt_proc: str, as_of: date) -> DataFrame:
     """Thirteen stage columns for every line; one line per invoice counts as the transaction.
 
     Takes whatever lines it is given: pass one snapshot to count each sale once.
-    `heavy_invoices` defaults to a measurement on `transactions`.
     """
     lines, order = _input_lines(transactions)
-    if heavy_invoices is None:
-        heavy_invoices = heavy_keys(transactions, "invoice_id")
-    marked = mark_first_lines(lines, "invoice_id", order, "fvl_qtd_transacoes", heavy_invoices)
+    marked = mark_first_lines(lines, "invoice_id", order, "fvl_qtd_transacoes")
     return marked.select(*_stage_columns(dt_proc, as_of))
 
 
-def book_lines(transactions: DataFrame, dt_proc: str, as_of: date) -> DataFrame:
+def book_lines(
+    transactions: DataFrame, dt_proc: str, as_of: date, *, count_sales: bool = True
+) -> DataFrame:
     """Stage rows that give the same book as `stage_features`, made with less shuffling.
 
     The book never needs to know which of the lines carries the transaction
     count, only that the category values of the first line get it. So all lines
     pass without a window and the first lines come in a second time with
     nothing but their count; every other measure of theirs is NULL, which
-    SUM, AVG, MIN and MAX skip.
+    SUM, AVG, MIN and MAX skip. A book without the transaction count needs no first
+    lines: `count_sales=False` leaves that second pass out.
     """
     lines, order = _input_lines(transactions)
     marker = "fvl_qtd_transacoes"
     plain = lines.withColumn(marker, F.lit(None).cast("int"))
+    if not count_sales:
+        return plain.select(*_stage_columns(dt_proc, as_of))
     counted = first_lines(lines, "invoice_id", order).withColumn(marker, F.lit(1))
     staged = plain.unionByName(counted).select(*_stage_columns(dt_proc, as_of))
     is_plain = F.col(marker).isNull()

@@ -14,16 +14,18 @@ from ledgerlake.functions.calendar import ReferencePeriod
 from ledgerlake.operators.audit import audit_rows, counted_write, write_audit
 from ledgerlake.operators.book import BOOK, BookSpec, feature_book
 from ledgerlake.operators.dedup import latest_load, restamp
-from ledgerlake.operators.ingest import ingest_subject
+from ledgerlake.operators.ingest import ingest_subject, stamp_load
 from ledgerlake.operators.stage import stage_features
 from ledgerlake.operators.standardise import standardise
 from ledgerlake.operators.windows import recency_windows
+from ledgerlake.sources.landing import split_landing
 from ledgerlake.sources.layers import (
     LakePaths,
-    append_table,
     newest_load,
     read_table,
+    replace_load,
     spread_by,
+    write_empty_load,
 )
 from ledgerlake.sources.subjects import SUBJECTS, SubjectSpec
 from ledgerlake.streaming.landing import land_new_files
@@ -57,6 +59,7 @@ class MonthlyRun:
     as_of: date
     landing: str = "batch"
     clean: str = "off"
+    on_bad_row: str = "FAILFAST"
     dedup: str = "business"
     null_keys: str = "drop"
     loads: str = "all"
@@ -65,11 +68,23 @@ class MonthlyRun:
     subjects: tuple[SubjectSpec, ...] = tuple(SUBJECTS.values())
     report: RunReport = field(default_factory=RunReport)
 
+    def __post_init__(self) -> None:
+        if self.landing == "batch" and self.clean != "off":
+            raise ValueError("only landing='stream' can clean up landing files")
+        if self.landing == "stream" and self.on_bad_row == "reject":
+            raise ValueError("only landing='batch' can keep rejected rows")
+
     def write_raw(self, spec: SubjectSpec) -> int:
         if self.landing == "stream":
             return self._land_new_files(spec)
-        df = ingest_subject(self.spark, self.paths.landing(spec.name), spec, self.dt_proc)
-        return self._append(df, self.paths.raw(spec.name), ("dt_proc",))
+        path, raw = self.paths.landing(spec.name), self.paths.raw(spec.name)
+        if self.on_bad_row != "reject":
+            df = ingest_subject(self.spark, path, spec, self.dt_proc, on_bad_row=self.on_bad_row)
+            return self._replace(df, raw)
+        fitting, rejected = split_landing(self.spark, path, spec)
+        table = f"tb_raw_rejected_{spec.name}"
+        self.report.rows[table] = self._replace(rejected, self.paths.rejected(spec.name))
+        return self._replace(stamp_load(fitting, self.dt_proc), raw)
 
     def _land_new_files(self, spec: SubjectSpec) -> int:
         raw = self.paths.raw(spec.name)
@@ -77,6 +92,7 @@ class MonthlyRun:
             self.spark, self.paths.landing_drops(spec.name), spec, self.dt_proc, raw,
             self.paths.landing_checkpoint(spec.name), clean=self.clean,
             archive_dir=self.paths.landing_archive(spec.name) if self.clean == "archive" else None,
+            on_bad_row=self.on_bad_row,
         )
         return read_table(self.spark, raw, self.dt_proc).count()
 
@@ -84,18 +100,29 @@ class MonthlyRun:
         only = None if self.loads == "all" else self.dt_proc
         raw = read_table(self.spark, self.paths.raw(spec.name), only)
         df = standardise(raw, spec, self.dt_proc, self.as_of, self.dedup)
-        if spec.partition_by != ("dt_proc",):
-            df = spread_by(df, *spec.partition_by)
-        return self._append(df, self.paths.trusted(spec.name), spec.partition_by)
+        inner = tuple(name for name in spec.partition_by if name != "dt_proc")
+        if inner:
+            df = spread_by(df, *inner)
+        return self._replace(df, self.paths.trusted(spec.name), inner)
 
     def write_snapshot(self, spec: SubjectSpec) -> int:
+        """With `loads="all"` the newest trusted load holds every row that was ever taken in.
+
+        Every key has its newest version there, so older loads are not read and nothing has
+        to be compared.
+        """
         trusted = read_table(self.spark, self.paths.trusted(spec.name))
-        df = restamp(latest_load(trusted, spec.key, null_keys=self.null_keys), self.dt_proc)
-        return self._append(df, self.paths.snapshot(spec.name), ("dt_proc",))
+        if self.loads == "all":
+            current = newest_load(trusted)
+            if self.null_keys == "drop":
+                current = current.dropna("any", subset=[spec.key])
+        else:
+            current = latest_load(trusted, spec.key, null_keys=self.null_keys)
+        return self._replace(restamp(current, self.dt_proc), self.paths.snapshot(spec.name))
 
     def write_stage(self) -> int:
         df = stage_features(self._snapshot(), self.dt_proc, self.as_of)
-        return self._append(df, self.paths.stage, ("ref",))
+        return self._replace(df, self.paths.stage, ("ref",))
 
     def _snapshot(self) -> DataFrame:
         path = self.paths.snapshot("transactions")
@@ -108,10 +135,15 @@ class MonthlyRun:
         ref = int(ReferencePeriod.of(self.as_of).ref)
         stage = read_table(self.spark, self.paths.stage, self.dt_proc).where(F.col("ref") == ref)
         df = feature_book(recency_windows(stage, self.as_of, self.book.months), self.book)
-        return self._append(df, self.paths.book, ("ref",))
+        return self._replace(df, self.paths.book, ("ref",))
 
-    def _append(self, df: DataFrame, path: str, partition_by: tuple[str, ...]) -> int:
-        return counted_write(df, lambda counted: append_table(counted, path, partition_by))
+    def _replace(self, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
+        rows = counted_write(
+            df, lambda counted: replace_load(counted, path, self.dt_proc, partition_by)
+        )
+        if rows == 0 and partition_by:
+            write_empty_load(df, path, self.dt_proc, partition_by)
+        return rows
 
     def _attempt(self, table: str, step: Callable[[], int]) -> bool:
         try:
@@ -177,13 +209,21 @@ def run_month(
     reads what the layer before it committed, nothing is computed twice, and the
     control counts come from the writes themselves.
 
+    A run may be repeated with the same stamp, after a failure or without one: each
+    layer writes the load of that stamp anew, and the control tables hold one row per table
+    and load. A delivery without rows goes through as 0 rows in every layer.
+
     `landing="batch"` reads one file per subject, "stream" all files dropped for
     it since the last run, and `clean` says what becomes of them. A raw table is
     written in one of the two ways, not in both: its stream keeps a list of its
-    own files, and readers go by that list.
+    own files, and readers go by that list. `on_bad_row` is the mode of the CSV reader for
+    rows that do not fit the schema; with "reject", in batches, they go to a table of their
+    own and the others on.
 
     `loads="all"` standardises every raw load again, `loads="new"` only the one
-    of this run. The stage is made from the snapshot of this run, or with
+    of this run, which is the choice for a large lake: with "all" every run writes the
+    whole history again. A row that came in once is then found under its own load only, and
+    exact copies of several loads are not merged. The stage is made from the snapshot of this run, or with
     `snapshots` from the "newest" one or from "all" of them, which counts the
     amounts of a sale once per snapshot.
     """

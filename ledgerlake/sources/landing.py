@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.sources.subjects import SubjectSpec
 
+BAD_ROW = "rejected_row"
+
 
 def read_landing(
     spark: SparkSession,
@@ -31,3 +34,26 @@ def read_landing(
         .option("mode", on_bad_row)
         .csv(path)
     )
+
+
+def split_landing(
+    spark: SparkSession, path: str, spec: SubjectSpec, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of a landing file that fit the subject's schema, and those that do not.
+
+    A rejected row has its text in `rejected_row` and the values that could be read.
+    """
+    with_text = f"{spec.landing_schema}, `{BAD_ROW}` STRING"
+    rows = (
+        spark.read.option("header", True)
+        .options(**options)
+        .schema(with_text)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_ROW)
+        # The whole row decides whether it fits, not only the columns that are asked for.
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    bad = F.col(BAD_ROW).isNotNull()
+    return rows.where(~bad).drop(BAD_ROW), rows.where(bad)

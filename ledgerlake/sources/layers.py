@@ -27,6 +27,10 @@ class LakePaths:
     def landing_archive(self, subject: str) -> str:
         return f"{self.root}/00_archive/{subject}"
 
+    def rejected(self, subject: str) -> str:
+        """Landing rows that do not fit the schema."""
+        return f"{self.root}/02_raw/_rejected/tb_{subject}"
+
     def landing_checkpoint(self, subject: str) -> str:
         return f"{self.root}/02_raw/_landed/tb_{subject}"
 
@@ -56,9 +60,12 @@ def read_table(spark: SparkSession, path: str, dt_proc: str | None = None) -> Da
 
     `dt_proc` prunes directories where the load is the partition column and is
     pushed into the Parquet scan where it is a file column. Comparing with a
-    number or a string literal depends on which of the two it is.
+    number or a string literal depends on which of the two it is. `ref` is a
+    number even where only loads without rows are there to infer it from.
     """
     df = spark.read.parquet(path)
+    if dict(df.dtypes).get("ref", "int") != "int":
+        df = df.withColumn("ref", F.col("ref").cast("int"))
     if dt_proc is None:
         return df
     is_text = dict(df.dtypes)["dt_proc"] == "string"
@@ -89,17 +96,38 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace_load(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Rewrite only the partitions present in `df`: a repeated run of one load is harmless.
+def load_folder(path: str, dt_proc: str) -> str:
+    return f"{path}/dt_proc={dt_proc}"
+
+
+def replace_load(
+    df: DataFrame, path: str, dt_proc: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Write one load of a table in place of what an earlier run left of it.
 
-    For tables whose partition column is the load stamp. A table partitioned by
-    month mixes loads inside a directory and has to be appended to.
+    The folder of the load is written anew, so a repeated run changes nothing and other
+    loads stay untouched, empty loads included. The stamp becomes the partition column.
     """
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        df.drop("dt_proc")
+        .write.mode("overwrite")
         .partitionBy(*partition_by)
-        .parquet(path)
+        .parquet(load_folder(path, dt_proc))
+    )
+
+
+def write_empty_load(df: DataFrame, path: str, dt_proc: str, partition_by: Sequence[str]) -> None:
+    """Leave the column names and types of a load that has no rows.
+
+    A partitioned write without rows leaves no file; this puts one into the folder of the
+    NULL partition.
+    """
+    null_partition = "/".join(f"{name}=__HIVE_DEFAULT_PARTITION__" for name in partition_by)
+    (
+        df.limit(0)
+        .drop("dt_proc", *partition_by)
+        .write.mode("overwrite")
+        .parquet(f"{load_folder(path, dt_proc)}/{null_partition}")
     )
 
 

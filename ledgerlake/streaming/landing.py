@@ -20,6 +20,7 @@ def land_new_files(
     clean: str = "off",
     archive_dir: str | None = None,
     files_per_batch: int | None = None,
+    on_bad_row: str = "FAILFAST",
 ) -> StreamingQuery:
     """Append all files that are new since the last call to raw, and stop.
 
@@ -27,12 +28,15 @@ def land_new_files(
     batch as a whole, so a run that died is simply repeated. `clean` removes
     ("delete") or moves ("archive") a landing file, and Spark does so only after
     the batch that read it was committed - as a rule in the following run.
+
+    `on_bad_row` is the mode of the CSV reader: a row that does not fit the schema stops the
+    run, or is read with NULLs ("PERMISSIVE") or left out ("DROPMALFORMED").
     """
     reader = (
         spark.readStream.schema(spec.landing_schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .option("mode", on_bad_row)
         .option("cleanSource", clean)
     )
     if archive_dir is not None:

@@ -172,3 +172,15 @@ def test_sums_grow_with_the_window_and_averages_lie_between(spark):
                 assert (total is None) == (mean is None)
                 if mean is not None:
                     assert low <= mean <= high
+
+
+def test_amount_books_need_no_first_lines(spark):
+    """One pass over the lines and no window, and the same book."""
+    data = lines(spark, some_lines(8, 300, 6))
+    spec = BOOK.only("fbc_moeda", ("fvl_invoice_total",))
+    with_sales, without = (
+        feature_book(recency_windows(book_lines(data, DT_PROC, AS_OF, count_sales=c), AS_OF), spec)
+        for c in (True, False)
+    )
+    assert rows(with_sales) == rows(without)
+    assert "Window" not in without._jdf.queryExecution().executedPlan().toString()

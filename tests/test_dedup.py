@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedup import exact_rows, latest_load, restamp
+from ledgerlake.operators.dedup import exact_rows, latest_load, latest_version, restamp
 
 L1, L2 = "20240101000000", "20240201000000"
 STRATEGIES = ("join", "rank")
@@ -92,3 +92,21 @@ def test_restamp_keeps_the_stamp_last(spark):
     df = spark.createDataFrame([(L1, "A", 1)], "dt_proc string, k string, x int")
     assert rows(restamp(df, L2)) == [("A", 1, L2)]
     assert restamp(df, L2).columns == ["k", "x", "dt_proc"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("stamp", ["2024-02", "", "-7", "123456789012345678"])
+def test_stamps_that_are_no_numbers_stop_the_query(spark, conf, ansi, stamp):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = loads(spark, [("A", 1, L1), ("A", 2, stamp)])
+    for result in (latest_load(df, "k"), latest_load(df, "k", strategy="rank"), latest_version(df, ["k"])):
+        with pytest.raises(Exception, match="load stamp is not a string of digits"):
+            result.collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_stamps_keep_their_zeros(spark, conf, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = loads(spark, [("A", 1, "006"), ("A", 2, "007"), ("B", 3, "0"), ("B", 4, None), ("C", 5, None)])
+    assert rows(latest_version(df, ["k"])) == [("A", "007"), ("B", "0"), ("C", None)]
+    assert rows(latest_load(df, "k")) == [("A", 2, "007"), ("B", 3, "0")]

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 
 from catalogue.retail import RAW
 from ledgerlake.__main__ import main
-from ledgerlake.operators.audit import audit_rows, counted_write, load_audit, write_audit
-from ledgerlake.plans.monthly_run import RunFailed, run_month
+from ledgerlake.operators.audit import (
+    audit_rows,
+    counted_write,
+    load_audit,
+    read_audit,
+    write_audit,
+)
+from ledgerlake.operators.dedup import latest_load
+from ledgerlake.plans.monthly_run import MonthlyRun, RunFailed, run_month
 from ledgerlake.sources.layers import (
     LakePaths,
     append_table,
@@ -36,7 +43,7 @@ def drop_landing_files(spark, sf_dir, paths, subjects=tuple(RAW)):
 def control(spark, paths, layer):
     return {
         (r.tb_name, r.dt_proc): r.qtd_registros
-        for r in spark.read.parquet(paths.control(layer)).collect()
+        for r in read_audit(spark, paths.control(layer)).collect()
     }
 
 
@@ -89,13 +96,13 @@ def test_rows_loaded_twice(spark, lake):
 def test_layout_and_types(spark, lake):
     _, paths = lake
     trusted = {s: dict(spark.read.parquet(paths.trusted(s)).dtypes) for s in SUBJECTS}
-    assert trusted["transactions"]["dt_proc"] == "string"
     assert trusted["transactions"]["ref"] == "int"
-    assert all(trusted[s]["dt_proc"] == "bigint" for s in SUBJECTS if s != "transactions")
+    assert all(trusted[s]["dt_proc"] == "bigint" for s in SUBJECTS)
     stage = spark.read.parquet(paths.stage)
     assert dict(stage.dtypes)["dt_proc"] == "bigint" and stage.columns[-1] == "ref"
-    assert len(spark.read.parquet(paths.book).columns) == 682
-    control_types = spark.read.parquet(paths.control("refined")).dtypes
+    book = spark.read.parquet(paths.book)
+    assert len(book.columns) == 683 and book.columns[-2:] == ["dt_proc", "ref"]
+    control_types = read_audit(spark, paths.control("refined")).dtypes
     assert control_types == [("tb_name", "string"), ("dt_proc", "bigint"), ("qtd_registros", "bigint")]
 
 
@@ -136,11 +143,81 @@ def test_empty_landing_files(spark, tmp_path):
     for subject, spec in SUBJECTS.items():
         header = ",".join(h for h, _, _ in spec.landing)
         (tmp_path / "01_transient" / f"{subject}.csv").write_text(header + "\n")
-    with pytest.raises(RunFailed) as failed:
-        run_month(spark, paths, AUGUST, AUGUST_END)
-    assert {table: rows for table, rows in failed.value.report.rows.items()} == {
-        f"tb_raw_{s}": 0 for s in SUBJECTS
-    }
+    report = run_month(spark, paths, AUGUST, AUGUST_END)
+    assert set(report.rows.values()) == {0} and len(report.rows) == 20
+    for table, rows_ in report.rows.items():
+        layer = "raw" if "raw" in table else "trusted" if "trusted" in table else "refined"
+        assert control(spark, paths, layer)[table, int(AUGUST)] == rows_
+    assert read_table(spark, paths.book, AUGUST).count() == 0
+    stores = ",".join(h for h, _, _ in SUBJECTS["stores"].landing)
+    (tmp_path / "01_transient" / "stores.csv").write_text(f"{stores}\n1,BR,SP,A,3,1,1.0,2.0\n")
+    assert run_month(spark, paths, AUGUST, AUGUST_END).rows["tb_refined_data_viz_stores"] == 1
+
+
+def test_a_repeated_run_changes_nothing(spark, sf_dir, tmp_path, monkeypatch):
+    """Twice in full, and once more after a failure in the middle, with another load beside it."""
+    paths = LakePaths(str(tmp_path))
+    only = {"subjects": (SUBJECTS["transactions"], SUBJECTS["stores"])}
+    drop_landing_files(spark, sf_dir, paths, ("transactions", "stores"))
+    run_month(spark, paths, JULY, JULY_END, **only)
+
+    def state():
+        tables = [paths.raw("stores"), paths.trusted("transactions"), paths.snapshot("transactions"),
+                  paths.stage, paths.book]
+        sums = lambda df: rows(df.groupBy("dt_proc").agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38)"))))
+        return [sums(spark.read.parquet(t)) for t in tables], [
+            control(spark, paths, x) for x in ("raw", "trusted", "refined")
+        ]
+
+    run_month(spark, paths, AUGUST, AUGUST_END, **only)
+    once = state()
+    run_month(spark, paths, AUGUST, AUGUST_END, **only)
+    assert state()[1] == once[1] and state()[0][:4] == once[0][:4]
+    with monkeypatch.context() as broken:
+        broken.setattr(MonthlyRun, "write_stage", lambda self: 1 / 0)
+        with pytest.raises(RunFailed):
+            run_month(spark, paths, AUGUST, AUGUST_END, **only)
+    run_month(spark, paths, AUGUST, AUGUST_END, **only)
+    assert state()[1] == once[1] and state()[0][:4] == once[0][:4]
+    assert [r[:2] for r in state()[0][4]] == [r[:2] for r in once[0][4]]
+
+
+def test_the_snapshot_reads_no_older_loads(spark, sf_dir, tmp_path):
+    """Three months: only the newest trusted load is opened, and the rows are those of the join."""
+    paths = LakePaths(str(tmp_path))
+    drop_landing_files(spark, sf_dir, paths, ("employees",))
+    only = {"subjects": (SUBJECTS["employees"],)}
+    loads = ("20010630060000", JULY, AUGUST)
+    for load in loads:
+        run_month(spark, paths, load, AUGUST_END, **only)
+    trusted = read_table(spark, paths.trusted("employees"))
+    joined = latest_load(trusted, "employee_id").drop("dt_proc")
+    assert rows(read_table(spark, paths.snapshot("employees"), AUGUST).drop("dt_proc")) == rows(joined)
+    plan = newest_load(trusted)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt_proc" in plan
+
+
+def test_batches_do_not_pretend_to_clean_up(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    with pytest.raises(ValueError):
+        run_month(spark, paths, AUGUST, AUGUST_END, clean="delete")
+    with pytest.raises(ValueError):
+        run_month(spark, paths, AUGUST, AUGUST_END, landing="stream", on_bad_row="reject")
+
+
+def test_rejected_rows_are_kept(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    (tmp_path / "01_transient").mkdir()
+    header = ",".join(h for h, _, _ in SUBJECTS["employees"].landing)
+    (tmp_path / "01_transient" / "employees.csv").write_text(f"{header}\n1,2,Bo,Clerk\nx,2,Li,Clerk\n")
+    only = {"subjects": (SUBJECTS["employees"],)}
+    with pytest.raises(RunFailed):
+        run_month(spark, paths, AUGUST, AUGUST_END, **only)
+    report = run_month(spark, paths, AUGUST, AUGUST_END, on_bad_row="reject", **only)
+    assert report.rows["tb_raw_employees"] == report.rows["tb_refined_data_viz_employees"] == 1
+    assert report.rows["tb_raw_rejected_employees"] == 1
+    kept = spark.read.parquet(paths.rejected("employees"))
+    assert rows(kept.select("rejected_row", "Name", "dt_proc")) == [("x,2,Li,Clerk", "Li", int(AUGUST))]
 
 
 def test_only_new_loads(spark, sf_dir, tmp_path):
@@ -161,7 +238,7 @@ def test_steps_as_separate_applications(spark, sf_dir, tmp_path):
     whole = LakePaths(str(tmp_path / "whole"))
     drop_landing_files(spark, sf_dir, whole)
     main(["--root", whole.root, "--as-of", "2001-08-11", "--dt-proc", AUGUST], spark)
-    book = lambda p: rows(spark.read.parquet(p.book))
+    book = lambda p: rows(spark.read.parquet(p.book).drop("dt_proc"))
     assert book(paths) == book(whole)
 
 
@@ -218,16 +295,17 @@ def test_audit_rows_have_one_type(spark, tmp_path):
     table = spark.range(5)
     write_audit([load_audit(table, "a", JULY), load_audit(table.where("id < 2"), "b", JULY)], path)
     write_audit(audit_rows(spark, [("c", AUGUST, 7)]), path)
-    assert rows(spark.read.parquet(path)) == [
-        ("a", int(JULY), 5), ("b", int(JULY), 2), ("c", int(AUGUST), 7),
+    write_audit(audit_rows(spark, [("b", JULY, 3)]), path)
+    assert rows(read_audit(spark, path)) == [
+        ("a", int(JULY), 5), ("b", int(JULY), 3), ("c", int(AUGUST), 7),
     ]
 
 
 def test_replacing_a_load_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "t")
     df = lambda load, n: spark.range(n).withColumn("dt_proc", F.lit(load))
-    for load, n in ((1, 3), (2, 4), (2, 5)):
-        replace_load(df(load, n), path, ("dt_proc",))
+    for load, n in ((1, 3), (2, 4), (2, 5), (3, 1), (3, 0)):
+        replace_load(df(load, n), path, str(load))
     counts = spark.read.parquet(path).groupBy("dt_proc").count().collect()
     assert {r.dt_proc: r["count"] for r in counts} == {1: 3, 2: 5}
 

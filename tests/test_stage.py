@@ -8,9 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import first_line
-from ledgerlake.operators.first_line import first_lines, mark_first_lines, repeat_rows
-from ledgerlake.operators.heavy import heavy_keys, is_heavy
+from ledgerlake.operators.first_line import first_lines, mark_first_lines
 from ledgerlake.operators.stage import INPUT_COLUMNS, book_lines, stage_features
 from ledgerlake.operators.windows import recency_windows
 
@@ -90,14 +88,49 @@ def brute_force(data):
     return sorted(out, key=lambda r: [(x is None, str(x)) for x in r])
 
 
-@pytest.mark.parametrize("heavy", [[], ["HOT"], ["HOT", None], ["HOT", None, "I1", "absent"]])
-def test_marker_is_the_same_with_and_without_heavy_invoices(spark, heavy, monkeypatch):
-    monkeypatch.setattr(first_line, "COPIES_PER_TASK_STEP", 7)
+@pytest.mark.parametrize("parts", [1, 7])
+def test_marker_against_brute_force(spark, parts):
     data = random_lines(11)
+    spread = lines(spark, data).repartition(parts)
+    marked = mark_first_lines(spread, "invoice_id", ("customer_id", "line"), "m")
+    assert rows(marked) == brute_force(data)
+
+
+def test_marker_passes_lines_unchanged(spark):
+    """Signed zeros, NaN, NULL and exact copies come out as they came in."""
+    totals = [-0.0, -0.0, 0.0, float("nan"), float("nan"), None, None]
+    data = [line(invoice, 1, total=t) for invoice in ("I", None) for t in totals]
     marked = mark_first_lines(
-        lines(spark, data), "invoice_id", ("customer_id", "line"), "m", heavy
+        lines(spark, data).repartition(5), "invoice_id", ("customer_id", "line"), "m"
+    ).collect()
+    text = lambda found: Counter((r[0], str(r[1])) for r in found)
+    assert text((r.invoice_id, r.line_total) for r in marked) == text((r[0], r[9]) for r in data)
+    assert [r.m for r in marked].count(1) == 2
+
+
+def test_many_hot_invoices(spark):
+    """2,000 invoices of 200 lines and one of a ten-thousandth of all lines, none special."""
+    row = F.col("id")
+    made = spark.range(0, 400_000, 1, 16).select(
+        F.when(row % 10_000 == 0, "few").otherwise((row % 2_000).cast("string")).alias("invoice_id"),
+        (row % 7).alias("line"), (row % 3).alias("amount"),
     )
-    assert rows(marked) == brute_force(data)
+    marked = mark_first_lines(made, "invoice_id", ("line",), "m")
+    counted = marked.agg(F.count("*"), F.sum("m"), F.count_distinct(F.when(F.col("m") == 1, F.col("invoice_id"))))
+    assert counted.first() == (400_000, 2_001, 2_001)
+    smallest = made.groupBy("invoice_id").agg(F.min(F.struct("line", "amount")).alias("first"))
+    chosen = marked.where("m = 1").select("invoice_id", F.struct("line", "amount").alias("first"))
+    assert chosen.exceptAll(smallest).count() == 0
+
+
+def test_an_invoice_never_meets_in_one_task(spark):
+    """The widest group of a window holds the lines one input partition has of an invoice."""
+    data = lines(spark, [line("HOT", 1) for _ in range(800)]).repartition(8)
+    marked = mark_first_lines(data, "invoice_id", ("customer_id", "line"), "m")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert "hashpartitioning(invoice_id" in plan and "_part" in plan and "_group" in plan
+    assert marked.where("m = 1").count() == 1
 
 
 def test_first_lines_keeps_one_per_invoice_before_the_shuffle(spark):
@@ -110,39 +143,9 @@ def test_first_lines_keeps_one_per_invoice_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below
 
 
-def test_repeat_rows_in_steps(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 10), ("c", 7), ("d", 8)], "x string, n bigint")
-    got = repeat_rows(df, "n", step=7)
-    assert Counter(r.x for r in got.collect()) == {"a": 1, "b": 10, "c": 7, "d": 8}
-    assert got.columns == ["x"]
-
-
-def test_heavy_keys(spark):
-    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 5 != 0, F.col("id"))
-    df = spark.range(60_000).select(key.alias("k"))
-    assert sorted(heavy_keys(df, "k", 5_000), key=str) == [-1, None]
-    assert heavy_keys(df, "k") == []
-    split = df.select(is_heavy("k", [-1, None]).alias("h")).groupBy("h").count().collect()
-    assert {r.h: r["count"] for r in split} == {
-        True: df.where("k is null or k = -1").count(),
-        False: df.where("k is not null and k <> -1").count(),
-    }
-
-
-def test_stage_with_a_measured_heavy_invoice(spark, monkeypatch):
-    import ledgerlake.operators.stage as stage_module
-
-    monkeypatch.setattr(stage_module, "heavy_keys", lambda df, key: heavy_keys(df, key, 150))
-    data = lines(spark, random_lines(13))
-    assert stage_module.heavy_keys(data, "invoice_id")
-    measured = stage_features(data, DT_PROC, AS_OF)
-    plain = stage_features(data, DT_PROC, AS_OF, heavy_invoices=[])
-    assert rows(measured) == rows(plain)
-
-
 def test_stage_reads_only_the_columns_it_needs(spark, tmp_path):
     lines(spark, random_lines(14)).write.parquet(str(tmp_path / "t"))
-    stage = stage_features(spark.read.parquet(str(tmp_path / "t")), DT_PROC, AS_OF, [])
+    stage = stage_features(spark.read.parquet(str(tmp_path / "t")), DT_PROC, AS_OF)
     plan = stage._jdf.queryExecution().executedPlan().toString()
     assert "sku" not in plan[plan.index("ReadSchema"):]
     assert all(name in plan for name in INPUT_COLUMNS)
