@@ -116,22 +116,19 @@ def kept_bytes(
             yield record_batch(schema, [rows.column(0), *[list(c) for c in zip(*out)]])
 
 
-def smallest_ids(runs: DataFrame, length: int) -> DataFrame:
+def smallest_ids(known_runs: DataFrame, length: int) -> DataFrame:
     """anchor, h1 and per string of the run the smallest id, where an anchor has several runs.
 
     An anchor with very many different runs, say a passage in many surroundings, is
     taken apart: its strings are made distinct first and dealt out one by one.
     """
     several = (
-        runs.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+        known_runs.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
         .where("a != b").select("anchor")
     )
-    first = runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"))
     distinct = written(
-        runs.where(F.col("content").isNotNull()).select("anchor", "h1", "content").join(several, "anchor", "left_semi")
-        .groupBy("anchor", "h1").agg(F.first("content").alias("content"))
-        .join(first, ["anchor", "h1"]),
-        "byte-runs-distinct",
+        known_runs.select("anchor", "h1", "content", "first").join(several, "anchor", "left_semi"),
+        "byte-runs-several",
     )
     hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_RUNS).select("anchor")
     total = distinct.agg(F.sum(F.length("content"))).first()[0] or 0
@@ -185,15 +182,21 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, digest: bool = False) ->
     id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
     runs = written(docs.select("doc_id", body, "text").mapInArrow(run, ddl), "byte-runs").select("*", id_)
 
-    strings = smallest_ids(runs, length)
-    first = (
-        runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .where("first < last").select("anchor", "h1", "first")
+    # The one grouping of all runs: ids and content of a run travel together.
+    distinct = written(
+        runs.groupBy("anchor", "h1").agg(
+            F.min("id").alias("first"), F.max("id").alias("last"),
+            F.first("content", ignorenulls=True).alias("content"),
+        ),
+        "byte-runs-distinct",
     )
+    strings = smallest_ids(distinct, length)
+    first = distinct.where("first < last").select("anchor", "h1", "first")
     known = written(first.join(strings, ["anchor", "h1"], "full_outer"), "byte-runs-known")
     bit = "aggregate(ids, struct(0L as m, 0 as k), (a, x) -> struct(a.m | if(x < id, shiftleft(1L, a.k), 0L) as m, a.k + 1 as k), a -> a.m)"
     masks = (
-        runs.select("doc_id", "body", "id", "start", "n", "anchor", "h1").join(known, ["anchor", "h1"])
+        runs.select("doc_id", "body", "start", "n", "anchor", "h1").join(known, ["anchor", "h1"])
+        .withColumn("id", id_)
         .select("doc_id", "body", "start", F.expr(f"if(first < id, shiftleft(1L, int(n)) - 1, if(ids is null, 0L, {bit}))").alias("mask"))
         .where("mask != 0")
     )
