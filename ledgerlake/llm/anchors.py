@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.arrow import record_batch, text_slices
+from ledgerlake.llm.tables import shuffles_removed
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 BLOCK = 1 << 16
@@ -205,15 +206,16 @@ def repeated_cells(docs: DataFrame, anchors_of, size: int) -> np.ndarray:
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(SKETCH))
-    merged = (
-        docs.select("text")
-        .mapInArrow(partial(sketch_batches, anchors_of=anchors_of, size=size, schema=schema), SKETCH)
-        .groupBy("row", "block", "part").applyInPandas(merge_blocks, SKETCH)
-        .groupBy("row", "block").applyInPandas(merge_blocks, SKETCH)
-        .where(F.length("twice") > 0).select("row", "block", "twice")
-    )
+    with shuffles_removed(docs.sparkSession):
+        merged = (
+            docs.select("text")
+            .mapInArrow(partial(sketch_batches, anchors_of=anchors_of, size=size, schema=schema), SKETCH)
+            .groupBy("row", "block", "part").applyInPandas(merge_blocks, SKETCH)
+            .groupBy("row", "block").applyInPandas(merge_blocks, SKETCH)
+            .where(F.length("twice") > 0).select("row", "block", "twice").toArrow()
+        )
     bits = np.zeros((2, (1 << size) // 8), np.uint8)
-    for batch in merged.toArrow().to_batches():
+    for batch in merged.to_batches():
         for row, block, twice in zip(*[c.to_pylist() for c in batch.columns]):
             full = np.zeros(BLOCK, bool)
             full[unpacked(twice)] = True

@@ -20,6 +20,7 @@ from ledgerlake.llm.neighbours import nearest_neighbours
 from ledgerlake.llm.queries import QUERIES, vocabulary_path
 from ledgerlake.llm.substrings import substring_dedup
 from ledgerlake.llm.suffixes import suffix_dedup
+from ledgerlake.llm.tables import CLEANUP, shuffles_removed, written
 from ledgerlake.llm.token_counts import token_counts
 from ledgerlake.llm.toxicity import fold, toxicity, without_toxic
 
@@ -328,3 +329,14 @@ def test_pipeline_keeps_columns_and_removes_what_it_finds(spark, sf_dir, documen
             assert docs.columns == before.columns
     texts = dict(before.select("doc_id", "text").collect())
     assert {r["doc_id"]: r["decoded"] for r in docs.collect()} == texts
+
+
+def test_written_tables_leave_the_setting_as_it_was(spark, odd):
+    before = spark.conf.get(CLEANUP, None)
+    table = written(odd.groupBy("doc_id").count(), "test")
+    assert spark.conf.get(CLEANUP, None) == before
+    assert sorted(table.collect(), key=str) == sorted(odd.groupBy("doc_id").count().collect(), key=str)
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        assert spark.conf.get(CLEANUP) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(CLEANUP, None) == before
