@@ -128,10 +128,10 @@ def runs_of(units: np.ndarray, texts: np.ndarray, window: int, gram: int) -> Run
     return Runs(start, n, value[start], owner[start])
 
 
-def sketch_size(docs: DataFrame, bytes_per_anchor: int) -> int:
+def sketch_size(docs: DataFrame, bytes_per_anchor: int, largest: int = LARGEST_SKETCH) -> int:
     """log2 of the cells of a sketch row: a few for each anchor, within a fixed bound."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return int(np.clip(np.ceil(np.log2(4 * total / bytes_per_anchor + 1)), 16, LARGEST_SKETCH))
+    return int(np.clip(np.ceil(np.log2(4 * total / bytes_per_anchor + 1)), 16, largest))
 
 
 def cells(anchor: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,36 +195,50 @@ def sketch_batches(batches, anchors_of, size: int, schema: pa.Schema) -> Iterato
     yield from task_sketch(held, size, schema)
 
 
-def repeated_cells(docs: DataFrame, anchors_of, size: int) -> np.ndarray:
-    """Count-min sketch over all anchors, as bits: which cells of the two rows were met twice.
+def anchor_batches(batches, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from task_sketch([batch.column(0).to_numpy().view(np.uint64)], size, schema)
+
+
+def merged_bits(rows: DataFrame, mapper, size: int, column: str) -> np.ndarray:
+    """Sketches of all tasks as the bits of one: cells met `once` or more, or `twice` or more.
 
     Every task sends its own sketch by blocks, those of up to 256 tasks are merged
-    first and then all of a block. Only the merged bits, 32 MB at most, come to the
-    driver.
+    first and then all of a block. Only the merged bits, whose number `size` bounds,
+    come to the driver.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(SKETCH))
-    with shuffles_removed(docs.sparkSession):
+    with shuffles_removed(rows.sparkSession):
         merged = (
-            docs.select("text")
-            .mapInArrow(partial(sketch_batches, anchors_of=anchors_of, size=size, schema=schema), SKETCH)
+            rows.mapInArrow(partial(mapper, size=size, schema=schema), SKETCH)
             .groupBy("row", "block", "part").applyInPandas(merge_blocks, SKETCH)
             .groupBy("row", "block").applyInPandas(merge_blocks, SKETCH)
-            .where(F.length("twice") > 0).select("row", "block", "twice").toArrow()
+            .where(F.length(column) > 0).select("row", "block", column).toArrow()
         )
     bits = np.zeros((2, (1 << size) // 8), np.uint8)
     for batch in merged.to_batches():
-        for row, block, twice in zip(*[c.to_pylist() for c in batch.columns]):
+        for row, block, cell in zip(*[c.to_pylist() for c in batch.columns]):
             full = np.zeros(BLOCK, bool)
-            full[unpacked(twice)] = True
+            full[unpacked(cell)] = True
             bits[row, block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.packbits(full)
     return bits
 
 
+def repeated_cells(docs: DataFrame, anchors_of, size: int) -> np.ndarray:
+    """Count-min sketch over all anchors of all texts: which cells of the two rows were met twice."""
+    return merged_bits(docs.select("text"), partial(sketch_batches, anchors_of=anchors_of), size, "twice")
+
+
+def marked_cells(anchors: DataFrame, size: int) -> np.ndarray:
+    """The cells of some anchors, given as one column of signed numbers."""
+    return merged_bits(anchors, anchor_batches, size, "once")
+
+
 def met_twice(anchor: np.ndarray, bits: np.ndarray, size: int) -> np.ndarray:
-    """Whether the sketch counts two or more: true for every anchor that was met twice."""
+    """Whether all cells of an anchor are set: true for every anchor that was met twice (or marked)."""
     out = np.ones(len(anchor), bool)
     for row, cell in enumerate(cells(anchor, size)):
         cell = cell.astype(np.int64)

@@ -1,9 +1,11 @@
 """Suffix-array dedup: byte strings that also start in a text with a smaller id.
 
 Strings of 50 bytes come in runs that share an anchor (see anchors); runs whose
-anchor was met once are dropped. The distinct remaining runs are dealt out by
-anchor, and each task sorts the suffixes of its runs with deep-shallow sorting:
-equal strings then lie next to each other and the smallest id among them is known.
+anchor was met once are dropped. A run that is equal in another text needs no more
+than its hashes. Where an anchor has several different runs their bytes are read
+in a second pass; these runs are dealt out by anchor, and each task sorts their
+suffixes with deep-shallow sorting: equal strings then lie next to each other and the
+smallest id among them is known.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from ledgerlake.llm.anchors import (
     Spans,
     as_signed,
     byte_units,
+    marked_cells,
     met_twice,
     repeated_cells,
     runs_of,
@@ -37,6 +40,7 @@ from ledgerlake.llm.tables import written
 LENGTH = 50
 GRAM = 24
 BYTES_PER_ANCHOR = 14
+LARGEST_SKETCH = 28  # log2 of the cells of one of the two rows: 32 MB as bits
 REMEMBERED = 300_000
 SORTED_AT_ONCE = 4 << 20  # bytes of runs that one task sorts together, about
 HOT_RUNS = 100_000  # different runs of one anchor, beyond which they are dealt out singly
@@ -48,9 +52,9 @@ def byte_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> Runs:
 
 
 def run_batches(
-    batches: Iterator[pa.RecordBatch], bits, size: int, length: int, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch], bits, size: int, length: int, schema: pa.Schema, bytes_too: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Runs with estimated repeats; the bytes of a run come once per task."""
+    """Runs whose anchor is set in the bits: their places, or their bytes, mostly once per task."""
     cells = bits.value
     seen: set[int] = set()
     for batch in batches:
@@ -63,19 +67,19 @@ def run_batches(
                 continue
             end = start + n + length - 1
             h1 = as_signed(Spans(units, 0).hashes(start, end))
+            if not bytes_too:
+                at = pa.array(owner)
+                own = [rows.column(0).take(at), rows.column(1).take(at), start - offsets[owner], n]
+                yield record_batch(schema, [*own, as_signed(anchor), h1])
+                continue
             if len(seen) > REMEMBERED:
                 seen.clear()
+            _, new = np.unique(h1, return_index=True)
+            new = np.array([k for k in new.tolist() if int(h1[k]) not in seen], np.int64)
+            seen.update(h1[new].tolist())
             raw = data.tobytes()
-            content = [None] * len(start)
-            for k, (h, b, e) in enumerate(zip(h1.tolist(), start.tolist(), end.tolist())):
-                if h not in seen:
-                    seen.add(h)
-                    content[k] = raw[b:e]
-            at = pa.array(owner)
-            yield record_batch(schema, [
-                rows.column(0).take(at), rows.column(1).take(at), start - offsets[owner], n,
-                as_signed(anchor), h1, content,
-            ])
+            content = [raw[b:e] for b, e in zip(start[new].tolist(), end[new].tolist())]
+            yield record_batch(schema, [as_signed(anchor[new]), h1[new], content])
 
 
 def sorted_batches(batches: Iterator[pa.RecordBatch], length: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -116,21 +120,16 @@ def kept_bytes(
             yield record_batch(schema, [rows.column(0), *[list(c) for c in zip(*out)]])
 
 
-def smallest_ids(runs: DataFrame, length: int) -> DataFrame:
+def smallest_ids(keys: DataFrame, several: DataFrame, contents: DataFrame, length: int) -> DataFrame:
     """anchor, h1 and per string of the run the smallest id, where an anchor has several runs.
 
     An anchor with very many different runs, say a passage in many surroundings, is
     taken apart: its strings are made distinct first and dealt out one by one.
     """
-    several = (
-        runs.groupBy("anchor").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
-        .where("a != b").select("anchor")
-    )
-    first = runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"))
     distinct = written(
-        runs.where(F.col("content").isNotNull()).select("anchor", "h1", "content").join(several, "anchor", "left_semi")
+        contents.join(several, "anchor", "left_semi")
         .groupBy("anchor", "h1").agg(F.first("content").alias("content"))
-        .join(first, ["anchor", "h1"]),
+        .join(keys.select("anchor", "h1", "first"), ["anchor", "h1"]),
         "byte-runs-distinct",
     )
     hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_RUNS).select("anchor")
@@ -176,26 +175,36 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, digest: bool = False) ->
     combine before the shuffle; what a task sorts is bounded, see `smallest_ids`.
     """
     spark = docs.sparkSession
-    size = sketch_size(docs, BYTES_PER_ANCHOR)
-    bits = spark.sparkContext.broadcast(repeated_cells(docs, partial(byte_runs, length=length), size))
+    size = sketch_size(docs, BYTES_PER_ANCHOR, LARGEST_SKETCH)
     kind = docs.schema["doc_id"].dataType.simpleString()
     body = F.xxhash64("text").alias("body")
-    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, h1 bigint, content binary"
-    run = partial(run_batches, bits=bits, size=size, length=length, schema=to_arrow_schema(StructType.fromDDL(ddl)))
-    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
-    runs = written(docs.select("doc_id", body, "text").mapInArrow(run, ddl), "byte-runs").select("*", id_)
-
-    strings = smallest_ids(runs, length)
-    first = (
-        runs.groupBy("anchor", "h1").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .where("first < last").select("anchor", "h1", "first")
+
+    def read_runs(bits: np.ndarray, ddl: str, bytes_too: bool) -> DataFrame:
+        schema = to_arrow_schema(StructType.fromDDL(ddl))
+        shared = spark.sparkContext.broadcast(bits)
+        run = partial(run_batches, bits=shared, size=size, length=length, schema=schema, bytes_too=bytes_too)
+        return docs.select("doc_id", body, "text").mapInArrow(run, ddl)
+
+    repeated = repeated_cells(docs, partial(byte_runs, length=length), size)
+    ddl = f"doc_id {kind}, body bigint, start bigint, n bigint, anchor bigint, h1 bigint"
+    runs = written(read_runs(repeated, ddl, bytes_too=False), "byte-runs")
+    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    ends = runs.groupBy("anchor", "h1").agg(F.min(id_).alias("first"), F.max(id_).alias("last"))
+    keys = written(ends, "byte-runs-keys")
+    several = written(
+        keys.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "byte-runs-several"
     )
+    contents = read_runs(marked_cells(several, size), "anchor bigint, h1 bigint, content binary", bytes_too=True)
+
+    strings = smallest_ids(keys, several, contents, length)
+    first = keys.where("first < last").select("anchor", "h1", "first")
     known = written(first.join(strings, ["anchor", "h1"], "full_outer"), "byte-runs-known")
     bit = "aggregate(ids, struct(0L as m, 0 as k), (a, x) -> struct(a.m | if(x < id, shiftleft(1L, a.k), 0L) as m, a.k + 1 as k), a -> a.m)"
-    masks = (
-        runs.select("doc_id", "body", "id", "start", "n", "anchor", "h1").join(known, ["anchor", "h1"])
+    masks = written(
+        runs.join(known, ["anchor", "h1"]).withColumn("id", id_)
         .select("doc_id", "body", "start", F.expr(f"if(first < id, shiftleft(1L, int(n)) - 1, if(ids is null, 0L, {bit}))").alias("mask"))
-        .where("mask != 0")
+        .where("mask != 0"),
+        "byte-runs-masks",
     )
     covers = masks.groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "mask")).alias("cover"))
     last = "kept_sha256 string" if digest else "kept binary"
