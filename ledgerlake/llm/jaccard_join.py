@@ -107,7 +107,7 @@ def frequencies(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefixes:
-    """The prefix of every set in the global order, and as many shingles again behind it.
+    """The prefix of every set in the global order.
 
     At most `spare` shingles of a set may be missing in a set that is linked to it;
     the prefix is one longer. `anchor` are the shingles, in order of the sets.
@@ -122,7 +122,7 @@ class Prefixes:
         order = np.lexsort((sets.value, often, sets.owner))
         place = np.arange(len(order)) - (sets.ends - sets.sizes)[sets.owner]
         self.spare = sets.sizes - (tenths * sets.sizes + 9) // 10
-        inside = place < 2 * self.spare[sets.owner] + 1
+        inside = place <= self.spare[sets.owner]
         self.anchor, self.owner, self.place = sets.value[order][inside], sets.owner[inside], place[inside]
 
 
@@ -159,16 +159,14 @@ def document_batches(
             sums = np.zeros((2, many), np.uint64)
             np.add.at(sums[0], sets.owner, mixed(sets.value))
             np.add.at(sums[1], sets.owner, mixed(sets.value ^ np.uint64(0x5851F42D4C957F2D)))
-            front = prefix.place <= prefix.spare[prefix.owner]
             group = np.zeros(many, np.uint64)
-            np.add.at(group, prefix.owner[front], mixed(prefix.anchor[front] + np.uint64(1)))
+            np.add.at(group, prefix.owner, mixed(prefix.anchor + np.uint64(1)))
             group = mixed(group ^ sets.sizes.astype(np.uint64))
             kept = met_twice(prefix.anchor, bits.value, size)
-            alone = np.bincount(prefix.owner[~kept], minlength=many)
-            open_ = (alone <= prefix.spare) & (sets.sizes > 0)
-            kept &= front & open_[prefix.owner]
+            # Linked sets share a shingle of both prefixes, whatever their sizes: it is met twice.
             owner, anchor, place = prefix.owner[kept], prefix.anchor[kept], prefix.place[kept]
             sizes = np.bincount(owner, minlength=many)
+            open_ = sizes > 0
             ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
             content = [
                 packed_set(sets.value[e - s : e]) if o else None

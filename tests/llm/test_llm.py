@@ -114,6 +114,23 @@ def test_jaccard_components_of_odd_rows(odd, none):
     assert jaccard_components(none).collect() == []
 
 
+def test_jaccard_components_link_all_size_pairs_at_the_threshold(spark):
+    for tenths in (8, 9):
+        rows = []
+        for n in range(1, 101):
+            for m in range(1, n + 1):
+                shared, rest = divmod(tenths * (n + m), 10 + tenths)
+                if rest == 0 and shared <= m:
+                    shingles = [(n - shared, "a"), (m - shared, "b")]
+                    common = [sha(f"{n} {m} {i}".encode())[:12] for i in range(shared + 4)]
+                    for extra, side in shingles:
+                        own = [sha(f"{n} {m} {i} {side}".encode())[:12] for i in range(extra)]
+                        rows.append((len(rows), " ".join(common + own)))
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs, 5, tenths).collect()}
+        assert found == {i: i - i % 2 for i, _ in rows}
+
+
 def test_toxicity_finds_marked_words_of_held_out_rows(spark):
     rng = np.random.default_rng(3)
     rows, labels = [], []
