@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import bpe_digests
 from ledgerlake.llm.decontamination import benchmark_leaks
 from ledgerlake.llm.jaccard_join import jaccard_components
+from ledgerlake.llm.kneser_ney import lm_scores
 from ledgerlake.llm.licenses import license_scan
 from ledgerlake.llm.lines import line_dedup
 from ledgerlake.llm.neighbours import nearest_neighbours
+from ledgerlake.llm.periodic_runs import periodic_runs, planted_periods, run_lines
 from ledgerlake.llm.substrings import substring_dedup
 from ledgerlake.llm.suffixes import suffix_dedup
 from ledgerlake.llm.token_counts import token_counts
 from ledgerlake.llm.toxicity import toxicity
+from ledgerlake.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +72,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_periods)
+    return runs.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(run_lines(), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -79,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_licenses": op9_licenses,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_lm_scores": op13_lm_scores,
 }
