@@ -5,6 +5,7 @@ from __future__ import annotations
 AS_OF = "DATE '2001-08-31'"
 DT_PROC = "20010831000000"
 FIRST_LOAD, SECOND_LOAD = "20010731000000", "20010831000000"
+THIRD_LOAD = "20010831120000"
 
 _RAW_TRANSACTIONS = """
     SELECT CAST(l_orderkey AS VARCHAR) AS "Invoice ID", l_linenumber AS "Line", o_custkey AS "Customer ID",
@@ -241,6 +242,28 @@ def _book(dims: list[str], amount: bool = True, counts: bool = True) -> str:
 _BOOK_FULL = _book(list(_VALUES))
 
 
+def _exact_aggregate(dim: str, value: str, measure: str, window: str, agg: str) -> str:
+    """Amounts added up as decimals, so that the order of the rows does not show."""
+    picked = f"CASE WHEN {dim} = '{value}' AND {window} = 1 THEN {measure} END"
+    if agg in ("MIN", "MAX"):
+        return f"{agg}({picked})"
+    total = f"CAST(sum(CAST({picked} AS DECIMAL(18, 4))) AS DOUBLE)"
+    return total if agg == "SUM" else f"{total} / count({picked})"
+
+
+def _book_exact() -> str:
+    columns = ",\n           ".join(
+        f"{_exact_aggregate(*feature)} AS VAR_{n}"
+        for n, feature in enumerate(_numbered(list(_VALUES), True, False))
+    )
+    return f"""
+    WITH staged AS ({_STAGE}),
+         windowed AS (SELECT *, {_WINDOW_FLAGS} FROM staged)
+    SELECT customer_id, ref,
+           {columns}
+    FROM windowed GROUP BY customer_id, ref"""
+
+
 def _dictionary() -> str:
     features = _numbered(list(_VALUES), True, True)
     names = ", ".join(
@@ -297,6 +320,8 @@ _DEDUP_TWICE = f"""
 # A run removes exact duplicates of the landing rows before it makes the stage.
 _DISTINCT_TRANSACTIONS = _trusted("transactions")
 _RUN_BOOK = _BOOK_FULL.replace(_TRANSACTIONS, _DISTINCT_TRANSACTIONS)
+_BROKEN_EMPLOYEES = f"""
+    SELECT *, "Employee ID" % 10 = 7 AS bad FROM ({_RAW["employees"]})"""
 _RUN_CONTROL = _control(_STAGE.replace(_TRANSACTIONS, _DISTINCT_TRANSACTIONS))
 
 ORACLE: dict[str, str] = {
@@ -342,6 +367,9 @@ ORACLE: dict[str, str] = {
     },
     "book_full": _BOOK_FULL,
     "book_full_from_stage": _BOOK_FULL,
+    "book_exact": _book_exact(),
+    "book_from_states": _BOOK_FULL,
+    "book_after_late_lines": _BOOK_FULL,
     "book_dictionary": _dictionary(),
     "control_all_layers": _control(_STAGE),
     "refined_views": f"""
@@ -362,6 +390,37 @@ ORACLE: dict[str, str] = {
     "landing_incremental": f"""
     SELECT *, CAST({FIRST_LOAD} AS BIGINT) AS dt_proc FROM ({_RAW["products"]})
     UNION ALL SELECT *, CAST({SECOND_LOAD} AS BIGINT) AS dt_proc FROM ({_RAW["products"]})""",
+    "landing_rejected": f"""
+    SELECT CASE WHEN NOT bad THEN "Employee ID" END AS "Employee ID", "Store ID", "Name", "Position",
+           CASE WHEN bad THEN 'no ' || "Employee ID" || ',' || "Store ID" || ',' || "Name" || ','
+                              || "Position" END AS rejected_row,
+           CAST({FIRST_LOAD} AS BIGINT) AS dt_proc
+    FROM ({_BROKEN_EMPLOYEES})""",
+    "load_replaced": f"""
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,
+           CAST({SECOND_LOAD} AS BIGINT) AS dt_proc
+    FROM orders""",
+    "trusted_new_loads": f"""
+    SELECT * REPLACE (CAST(ref AS INTEGER) AS ref,
+                      CAST(CASE WHEN line <= 3 THEN {FIRST_LOAD} WHEN line <= 5 THEN {SECOND_LOAD}
+                                ELSE {THIRD_LOAD} END AS BIGINT) AS dt_proc)
+    FROM ({_trusted("transactions")})""",
+    "snapshot_new_loads": f"""
+    SELECT * REPLACE (CAST({THIRD_LOAD} AS BIGINT) AS dt_proc) FROM ({_trusted("customers")})""",
+    "snapshot_by_change": _latest(
+        f"""
+    SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS invoice_id, l_linenumber AS line,
+           l_partkey AS product_id, l_suppkey AS store_id, l_extendedprice AS line_total,
+           CASE WHEN year(l_shipdate) < 1994 THEN '{FIRST_LOAD}'
+                WHEN year(l_shipdate) < 1997 THEN '{SECOND_LOAD}' ELSE '{THIRD_LOAD}' END AS dt_proc
+    FROM lineitem""",
+        ("invoice_id",), "IS NOT DISTINCT FROM",
+    ),
+    "control_against_files": f"""
+    SELECT tb_name, dt_proc, qtd_registros, qtd_registros AS found_rows FROM ({_RUN_CONTROL})""",
+    "faulty_run_control": f"""
+    SELECT * FROM ({_RUN_CONTROL}) WHERE tb_name NOT LIKE '%products'""",
+    "resumed_run_control": _RUN_CONTROL,
     "monthly_run_control": _RUN_CONTROL,
     "monthly_run_book": _RUN_BOOK,
     "monthly_run_repeated": _RUN_BOOK,

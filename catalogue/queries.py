@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
+from datetime import date
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +19,7 @@ from catalogue.retail import (
     table,
 )
 from ledgerlake.functions.calendar import reference_period_columns
-from ledgerlake.functions.features import DAY_PERIODS, banded
+from ledgerlake.functions.features import DAY_PERIODS, banded, first_match
 from ledgerlake.operators.audit import load_audit, read_audit
 from ledgerlake.operators.book import (
     AMOUNT_MEASURES,
@@ -32,10 +34,13 @@ from ledgerlake.operators.book import (
 from ledgerlake.operators.dedup import exact_rows, latest_load, latest_version, restamp
 from ledgerlake.operators.first_line import first_lines, mark_first_lines
 from ledgerlake.operators.ingest import ingest_subject, stamp_load
+from ledgerlake.operators.snapshot import SnapshotStore
 from ledgerlake.operators.stage import book_lines, categories, flags, stage_features
 from ledgerlake.operators.standardise import standardise
+from ledgerlake.operators.states import StateStore
 from ledgerlake.operators.windows import recency_windows
-from ledgerlake.plans.monthly_run import run_month
+from ledgerlake.plans.monthly_run import RunFailed, run_month
+from ledgerlake.sources.landing import BAD_ROW
 from ledgerlake.sources.layers import (
     LakePaths,
     append_table,
@@ -43,12 +48,14 @@ from ledgerlake.sources.layers import (
     register_layer,
     spread_by,
 )
+from ledgerlake.sources.manifest import committed_files, write_load, write_version
 from ledgerlake.sources.scratch import scratch_dir
 from ledgerlake.sources.subjects import SUBJECTS
 from ledgerlake.streaming.landing import land_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 FIRST_LOAD, SECOND_LOAD = "20010731000000", "20010831000000"
+THIRD_LOAD = "20010831120000"
 
 
 # Raw to trusted
@@ -189,6 +196,30 @@ def book_from_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feature_book(recency_windows(stage(spark, sf_dir), AS_OF)), BOOK)
 
 
+def book_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The amounts as they are: exact sums need no rounding to be compared."""
+    spec = replace(BOOK, measures=tuple(m for m in BOOK.measures if m[0] in AMOUNT_MEASURES))
+    lines = book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF, count_sales=False)
+    return feature_book(recency_windows(lines, AS_OF), spec)
+
+
+def book_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book from stored monthly states."""
+    store = StateStore(spark, LakePaths(scratch_dir(spark, "states")).states)
+    store.replace(stage(spark, sf_dir))
+    return rounded(store.book(AS_OF), BOOK)
+
+
+def book_after_late_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all but the first lines of every other month, and then these lines as well."""
+    store = StateStore(spark, LakePaths(scratch_dir(spark, "states")).states)
+    lines = transactions(spark, sf_dir)
+    is_late = (F.col("line") == 1) & (F.col("ref").cast("int") % 2 == 1)
+    store.replace(stage_features(lines.where(~is_late), DT_PROC, AS_OF))
+    store.refresh(lines, lines.where(is_late), DT_PROC, AS_OF)
+    return rounded(store.book(AS_OF), BOOK)
+
+
 def book_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each column stands for and for how many customers it has a value."""
     lines = book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF)
@@ -268,6 +299,150 @@ def write_by_ref_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that is written again, and a later write that never came to its commit."""
+    path = LakePaths(scratch_dir(spark, "replaced")).raw("orders")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
+    )
+    wrong = orders.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    write_load(orders, path, FIRST_LOAD, ("o_orderpriority",))
+    write_load(wrong, path, SECOND_LOAD, ("o_orderpriority",))
+    write_load(orders, path, SECOND_LOAD, ("o_orderpriority",))
+    write_version(wrong, path, SECOND_LOAD, ("o_orderpriority",))
+    return read_table(spark, path, SECOND_LOAD)
+
+
+def _deliver(
+    spark: SparkSession, paths: LakePaths, subject: str, deliveries: Sequence[tuple[str, date, DataFrame]],
+    **options,
+) -> None:
+    """One monthly run after the other, each with a landing file of its own."""
+    for load, as_of, rows in deliveries:
+        rows.write.mode("overwrite").option("header", True).csv(paths.landing(subject))
+        run_month(spark, paths, load, as_of, subjects=(SUBJECTS[subject],), **options)
+
+
+def _three_deliveries(df: DataFrame, number: Column) -> list[tuple[str, date, DataFrame]]:
+    """Two parts that overlap, and then everything; `number` goes from 1 to 7."""
+    return [
+        (FIRST_LOAD, date(2001, 7, 31), df.where(number <= 3)),
+        (SECOND_LOAD, AS_OF, df.where(number.between(2, 5))),
+        (THIRD_LOAD, AS_OF, df),
+    ]
+
+
+def trusted_new_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries that share rows: each row once, under the load that brought it first."""
+    paths = LakePaths(scratch_dir(spark, "new-loads"))
+    lines = RAW["transactions"](spark, sf_dir)
+    _deliver(
+        spark, paths, "transactions", _three_deliveries(lines, F.col("Line")), steps=("raw", "trusted")
+    )
+    return read_table(spark, paths.trusted("transactions"))
+
+
+def snapshot_new_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after three deliveries; the age is that of the last run in every row."""
+    paths = LakePaths(scratch_dir(spark, "new-loads"))
+    customers = RAW["customers"](spark, sf_dir)
+    number = (F.col("Customer ID") % 7 + 1).cast("int")
+    _deliver(
+        spark, paths, "customers", _three_deliveries(customers, number),
+        steps=("raw", "trusted", "refined"),
+    )
+    return read_table(spark, paths.snapshot("customers"), THIRD_LOAD)
+
+
+YEARS = ((1994, FIRST_LOAD), (1997, SECOND_LOAD), (9999, THIRD_LOAD))
+
+
+def snapshot_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads merged one after the other; the seventh lines have no key."""
+    key = F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        key.alias("invoice_id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("store_id"), F.col("l_extendedprice").alias("line_total"),
+        first_match((F.year("l_shipdate") < year, load) for year, load in YEARS).alias("dt_proc"),
+    )
+    path = LakePaths(scratch_dir(spark, "changes")).snapshot("transactions")
+    store = SnapshotStore(spark, path, "invoice_id", buckets=8, null_keys="keep")
+    for _, load in YEARS:
+        store.apply(lines.where(F.col("dt_proc") == load), load)
+    return store.rows()
+
+
+def _layer_tables(paths: LakePaths) -> dict[str, str]:
+    layers = (("tb_raw", paths.raw), ("tb_trusted", paths.trusted), ("tb_refined_data_viz", paths.snapshot))
+    tables = {f"{prefix}_{subject}": path(subject) for prefix, path in layers for subject in SUBJECTS}
+    return tables | {"tb_refined_stage": paths.stage, "tb_refined_book": paths.book}
+
+
+def control_against_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a whole run committed, and rows in the files, by their footers."""
+    paths = _lake_after_run(spark, sf_dir)
+    counted = [
+        committed_files(spark, path).select(
+            F.lit(name).alias("tb_name"), F.col("dt_proc").cast("bigint").alias("dt_proc"),
+            F.col("committed_rows").alias("qtd_registros"), "found_rows",
+        )
+        for name, path in _layer_tables(paths).items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _control_rows(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    layers = [read_audit(spark, paths.control(x)) for x in ("raw", "trusted", "refined")]
+    return reduce(DataFrame.unionByName, layers)
+
+
+def _run_without_products(spark: SparkSession, sf_dir: str) -> LakePaths:
+    paths = LakePaths(scratch_dir(spark, "faulty"))
+    for subject, raw in RAW.items():
+        if subject != "products":
+            _write_csv(raw(spark, sf_dir), paths.landing(subject))
+    try:
+        run_month(spark, paths, DT_PROC, AS_OF)
+    except RunFailed as failed:
+        if set(failed.report.failures) != {"tb_raw_products"}:
+            raise
+    return paths
+
+
+def faulty_run_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which one subject has no landing file: the others go through all layers."""
+    return _control_rows(spark, _run_without_products(spark, sf_dir))
+
+
+def resumed_run_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run, gone on with after the missing file came."""
+    paths = _run_without_products(spark, sf_dir)
+    _write_csv(RAW["products"](spark, sf_dir), paths.landing("products"))
+    report = run_month(spark, paths, DT_PROC, AS_OF, resume=True)
+    if [name for name in report.rows if "products" not in name] != report.resumed:
+        raise AssertionError("a step was done again")
+    return _control_rows(spark, paths)
+
+
+def landing_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of files in which the seventh lines have no number: both tables, after two runs."""
+    paths = LakePaths(scratch_dir(spark, "rejected"))
+    spec = SUBJECTS["employees"]
+    employees = RAW["employees"](spark, sf_dir)
+    key = F.col("Employee ID").cast("string")
+    broken = employees.withColumn(
+        "Employee ID", F.when(F.col("Employee ID") % 10 == 7, F.concat(F.lit("no "), key)).otherwise(key)
+    )
+    _write_csv(broken, paths.landing("employees-1"))
+    for load in (FIRST_LOAD, SECOND_LOAD):
+        land_new_files(
+            spark, paths.landing_drops("employees"), spec, load, paths.raw("employees"),
+            f"{paths.root}/checkpoint", on_bad_row="reject", rejected_path=paths.rejected("employees"),
+        )
+    fitting = read_table(spark, paths.raw("employees")).withColumn(BAD_ROW, F.lit(None).cast("string"))
+    return fitting.unionByName(read_table(spark, paths.rejected("employees")))
+
+
 def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of CSV files, two incremental runs: each file is taken in once."""
     paths = LakePaths(scratch_dir(spark, "landing"))
@@ -294,9 +469,7 @@ def _lake_after_run(spark: SparkSession, sf_dir: str, runs: int = 1) -> LakePath
 
 def monthly_run_control(spark: SparkSession, sf_dir: str, runs: int = 1) -> DataFrame:
     """Control rows of all layers after a whole run from CSV files to the book."""
-    paths = _lake_after_run(spark, sf_dir, runs)
-    layers = [read_audit(spark, paths.control(x)) for x in ("raw", "trusted", "refined")]
-    return reduce(DataFrame.unionByName, layers)
+    return _control_rows(spark, _lake_after_run(spark, sf_dir, runs))
 
 
 def monthly_run_book(spark: SparkSession, sf_dir: str, runs: int = 1) -> DataFrame:
@@ -342,6 +515,9 @@ QUERIES: dict[str, Query] = {
     },
     "book_full": book,
     "book_full_from_stage": book_from_stage,
+    "book_exact": book_exact,
+    "book_from_states": book_from_states,
+    "book_after_late_lines": book_after_late_lines,
     "book_dictionary": book_dictionary,
     "control_all_layers": control_all_layers,
     "refined_views": refined_views,
@@ -353,6 +529,14 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_roundtrip": partial(ingest_csv_roundtrip, subject="transactions"),
     "write_by_ref_roundtrip": write_by_ref_roundtrip,
     "landing_incremental": landing_incremental,
+    "landing_rejected": landing_rejected,
+    "load_replaced": load_replaced,
+    "trusted_new_loads": trusted_new_loads,
+    "snapshot_new_loads": snapshot_new_loads,
+    "snapshot_by_change": snapshot_by_change,
+    "control_against_files": control_against_files,
+    "faulty_run_control": faulty_run_control,
+    "resumed_run_control": resumed_run_control,
     "monthly_run_control": monthly_run_control,
     "monthly_run_book": monthly_run_book,
     "monthly_run_repeated": partial(monthly_run_book, runs=2),

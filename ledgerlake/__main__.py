@@ -31,7 +31,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         default="FAILFAST",
     )
     parser.add_argument("--dedup", choices=("business", "with_load"), default="business")
-    parser.add_argument("--loads", choices=("all", "new"), default="all")
+    parser.add_argument("--loads", choices=("new", "own", "all"), default="new")
+    parser.add_argument("--resume", action="store_true")
+    parser.add_argument("--book-from", choices=("stage", "states"), default="stage")
     parser.add_argument("--snapshots", choices=("run", "newest", "all"))
     chosen = parser.parse_args(arguments)
 
@@ -46,6 +48,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         on_bad_row=chosen.on_bad_row,
         dedup=chosen.dedup,
         loads=chosen.loads,
+        book_from=chosen.book_from,
+        resume=chosen.resume,
         snapshots=chosen.snapshots or ("run" if "refined" in chosen.steps else "newest"),
         subjects=tuple(SUBJECTS[name] for name in chosen.subjects),
     )

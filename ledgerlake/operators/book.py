@@ -39,6 +39,11 @@ class BookSpec:
 
     `months` are cumulative windows in ascending order. A column is numbered by
     the place of its combination in dims > values > measures > windows > aggregates.
+
+    Measures in `exact` are amounts with at most that many decimals. They are added up as whole
+    numbers of the last decimal, so sums and averages do not depend on the order of the rows;
+    an amount that is not finite, or a sum beyond 64 bits, is an error. Other
+    measures are added up in the type they have.
     """
 
     dims: tuple[tuple[str, tuple[str, ...]], ...]
@@ -46,6 +51,7 @@ class BookSpec:
     months: tuple[int, ...] = WINDOW_MONTHS
     keys: tuple[str, ...] = ("customer_id", "ref")
     first_var: int = field(default=0)
+    exact: tuple[tuple[str, int], ...] = ()
 
     def __post_init__(self) -> None:
         if list(self.months) != sorted(set(self.months)):
@@ -88,6 +94,7 @@ class BookSpec:
             measures=tuple(m for m in self.measures if m[0] in measures),
             months=self.months,
             keys=self.keys,
+            exact=self.exact,
         )
 
 
@@ -106,6 +113,7 @@ BOOK = BookSpec(
         ("flg_desconto", (SUM,)),
         ("flg_retorno", (SUM,)),
     ),
+    exact=(("fvl_invoice_total", 4),),
 )
 AMOUNT_MEASURES = ("fvl_invoice_total",)
 COUNT_MEASURES = ("fvl_qtd_transacoes", "fvl_qtd_itens_transacao", "flg_desconto", "flg_retorno")
@@ -158,7 +166,12 @@ def feature_book(windows: DataFrame, spec: BookSpec = BOOK, form: str = "cells")
         return windows.groupBy(*spec.keys).agg(*_wide_columns(spec))
     if form != "cells":
         raise ValueError(f"unknown form {form!r}")
-    return _side_by_side(_value_totals(_cells(windows, spec), spec), spec)
+    return book_of_cells(_cells(windows, spec), spec)
+
+
+def book_of_cells(cells: DataFrame, spec: BookSpec) -> DataFrame:
+    """The book from rows that carry parts of aggregates; there may be several for a cell."""
+    return _side_by_side(_value_totals(cells, spec), spec)
 
 
 _AGGREGATES: dict[str, Callable[[Column], Column]] = {
@@ -170,8 +183,14 @@ def _wide_columns(spec: BookSpec) -> list[Column]:
     columns = []
     for feature in spec.features():
         matches = (F.col(feature.dim) == feature.value) & (F.col(feature.window) == 1)
-        picked = F.when(matches, F.col(feature.measure))
-        columns.append(_AGGREGATES[feature.agg](picked).alias(feature.var))
+        scale = dict(spec.exact).get(feature.measure.lower())
+        if scale is not None and feature.agg in (SUM, AVG):
+            picked = F.when(matches, F.expr(_units(feature.measure, scale)))
+            total = F.sum(picked) / F.lit(float(10**scale))
+            column = total if feature.agg == SUM else F.try_divide(total, F.count(picked))
+        else:
+            column = _AGGREGATES[feature.agg](F.when(matches, F.col(feature.measure)))
+        columns.append(column.alias(feature.var))
     return columns
 
 
@@ -182,7 +201,7 @@ def _youngest_window(spec: BookSpec) -> Column:
     )
 
 
-def _value_number(dim: str, spec: BookSpec) -> Column:
+def value_number(dim: str, spec: BookSpec) -> Column:
     """Place of the row's value among all values of the book; NULL if it has none there."""
     return first_match(
         (F.col(dim) == value, number)
@@ -196,6 +215,27 @@ _PARTS = {SUM: ("sum",), AVG: ("sum", "count"), MIN: ("min",), MAX: ("max",)}
 _MERGE = {"sum": "sum", "count": "sum", "min": "min", "max": "max"}
 
 
+def _units(measure: str, scale: int) -> str:
+    """An amount as a whole number of its last decimal."""
+    return f"CAST(rint(`{measure}` * {10**scale}D) AS BIGINT)"
+
+
+def parts_of_rows(spec: BookSpec) -> list[Column]:
+    """The parts of all aggregates, as aggregates over rows."""
+    exact = dict(spec.exact)
+    columns = []
+    for measure, part in _measure_parts(spec):
+        whole = part == "sum" and measure in exact
+        value = _units(measure, exact[measure]) if whole else f"`{measure}`"
+        columns.append(F.expr(f"{part}({value}) AS `{measure}_{part}`"))
+    return columns
+
+
+def merged_parts(spec: BookSpec) -> list[str]:
+    """Names of the parts."""
+    return [f"{measure}_{part}" for measure, part in _measure_parts(spec)]
+
+
 def _measure_parts(spec: BookSpec) -> list[tuple[str, str]]:
     parts = [
         (measure, part) for measure, aggs in spec.measures for agg in aggs for part in _PARTS[agg]
@@ -211,15 +251,10 @@ def _cells(windows: DataFrame, spec: BookSpec) -> DataFrame:
     narrow = rows.select(
         *spec.keys,
         "_window",
-        *(F.when(in_window, _value_number(dim, spec)).alias(dim) for dim in dims),
+        *(F.when(in_window, value_number(dim, spec)).alias(dim) for dim in dims),
         *measures,
     )
-    return narrow.groupBy(*spec.keys, "_window", *dims).agg(
-        *(
-            F.expr(f"{part}(`{measure}`) AS `{measure}_{part}`")
-            for measure, part in _measure_parts(spec)
-        )
-    )
+    return narrow.groupBy(*spec.keys, "_window", *dims).agg(*parts_of_rows(spec))
 
 
 def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
@@ -235,12 +270,14 @@ def _value_totals(cells: DataFrame, spec: BookSpec) -> DataFrame:
     tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_value = cells.repartition(tasks, spec.keys[0]).select(
         *spec.keys, "_window", F.explode_outer(values).alias("_value"),
-        *(f"{measure}_{part}" for measure, part in _measure_parts(spec)),
+        *merged_parts(spec),
     )
+    exact = dict(spec.exact)
 
     def total(measure: str, part: str, number: int) -> str:
         picked = f"CASE WHEN _window <= {number} THEN `{measure}_{part}` END"
-        return f"{_MERGE[part]}({picked})"
+        merged = f"{_MERGE[part]}({picked})"
+        return f"({merged} / {10 ** exact[measure]}D)" if part == "sum" and measure in exact else merged
 
     columns = []
     for place, (measure, number, agg) in enumerate(spec.value_features):

@@ -97,7 +97,10 @@ def latest_load(
         raise ValueError(f"unknown strategy {strategy!r}")
 
     newest = df.groupBy(*keys).agg(F.max(_stamp(df, version)).alias("_newest")).alias("newest")
-    rows = df.withColumn("_stamp", _stamp(df, version)).alias("rows")
+    # The aggregate sees every row and refuses bad stamps; here a plain cast will do.
+    is_text = dict(df.dtypes)[version] == "string"
+    number = F.col(version).try_cast("bigint") if is_text else F.col(version)
+    rows = df.withColumn("_stamp", number).alias("rows")
     same_key = [
         F.col(f"rows.{key}").eqNullSafe(F.col(f"newest.{key}"))
         if null_keys == "keep"

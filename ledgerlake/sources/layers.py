@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.sources.manifest import committed, current, open_loads
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -31,6 +33,10 @@ class LakePaths:
         """Landing rows that do not fit the schema."""
         return f"{self.root}/02_raw/_rejected/tb_{subject}"
 
+    def seen(self, subject: str) -> str:
+        """Index of the rows that earlier loads brought."""
+        return f"{self.root}/03_trusted/_seen/tb_{subject}"
+
     def landing_checkpoint(self, subject: str) -> str:
         return f"{self.root}/02_raw/_landed/tb_{subject}"
 
@@ -47,6 +53,11 @@ class LakePaths:
     def stage(self) -> str:
         return f"{self.root}/04_refined/stage"
 
+    @property
+    def states(self) -> str:
+        """Monthly states that books are put together from."""
+        return f"{self.root}/04_refined/states"
+
     @property
     def book(self) -> str:
         return f"{self.root}/04_refined/book"
@@ -58,12 +69,13 @@ class LakePaths:
 def read_table(spark: SparkSession, path: str, dt_proc: str | None = None) -> DataFrame:
     """A whole layer table, or one load of it.
 
-    `dt_proc` prunes directories where the load is the partition column and is
+    Of a table whose writes are committed in a log, only what counts is opened. `dt_proc` prunes directories where the load is the partition column and is
     pushed into the Parquet scan where it is a file column. Comparing with a
     number or a string literal depends on which of the two it is. `ref` is a
     number even where only loads without rows are there to infer it from.
     """
-    df = spark.read.parquet(path)
+    versions = committed(spark, path)
+    df = open_loads(spark, path, current(versions), dt_proc) if versions else spark.read.parquet(path)
     if dict(df.dtypes).get("ref", "int") != "int":
         df = df.withColumn("ref", F.col("ref").cast("int"))
     if dt_proc is None:
@@ -107,6 +119,7 @@ def replace_load(
 
     The folder of the load is written anew, so a repeated run changes nothing and other
     loads stay untouched, empty loads included. The stamp becomes the partition column.
+    A write that dies has already deleted the earlier load; `manifest.write_load` keeps it.
     """
     (
         df.drop("dt_proc")
@@ -116,22 +129,7 @@ def replace_load(
     )
 
 
-def write_empty_load(df: DataFrame, path: str, dt_proc: str, partition_by: Sequence[str]) -> None:
-    """Leave the column names and types of a load that has no rows.
-
-    A partitioned write without rows leaves no file; this puts one into the folder of the
-    NULL partition.
-    """
-    null_partition = "/".join(f"{name}=__HIVE_DEFAULT_PARTITION__" for name in partition_by)
-    (
-        df.limit(0)
-        .drop("dt_proc", *partition_by)
-        .write.mode("overwrite")
-        .parquet(f"{load_folder(path, dt_proc)}/{null_partition}")
-    )
-
-
 def register_layer(spark: SparkSession, locations: dict[str, str]) -> None:
     """Publish Parquet tables as temp views for SQL users, replacing older ones."""
     for view, path in locations.items():
-        spark.read.parquet(path).createOrReplaceTempView(view)
+        read_table(spark, path).createOrReplaceTempView(view)

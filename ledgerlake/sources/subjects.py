@@ -22,7 +22,8 @@ class SubjectSpec:
 
     `landing` lists (header, type, trusted name) in file order. `derived` maps a
     trusted column to an expression over the landing headers; `order` is the
-    trusted column order, without the load stamp that always comes last.
+    trusted column order, without the load stamp that always comes last. `restated` gives
+    the columns that depend on the day of the run, from trusted columns.
     """
 
     name: str
@@ -30,6 +31,7 @@ class SubjectSpec:
     landing: tuple[tuple[str, str, str], ...]
     order: tuple[str, ...]
     derived: Callable[[date | None], dict[str, Column]] = lambda as_of: {}
+    restated: Callable[[date], dict[str, Column]] = lambda as_of: {}
     partition_by: tuple[str, ...] = ("dt_proc",)
 
     @property
@@ -87,6 +89,7 @@ CUSTOMERS = SubjectSpec(
         "job_title", "birthdate", "age",
     ),
     derived=_customer_age,
+    restated=lambda as_of: {"age": age_in_years(F.col("birthdate"), as_of)},
 )
 
 DISCOUNTS = SubjectSpec(

@@ -54,8 +54,8 @@ def lake(request, spark, tmp_path_factory):
 
     paths = LakePaths(str(tmp_path_factory.mktemp("lake")))
     drop_landing_files(spark, SMALL, paths)
-    run_month(spark, paths, JULY, JULY_END, dedup=request.param)
-    run_month(spark, paths, AUGUST, AUGUST_END, dedup=request.param)
+    run_month(spark, paths, JULY, JULY_END, dedup=request.param, loads="all")
+    run_month(spark, paths, AUGUST, AUGUST_END, dedup=request.param, loads="all")
     return request.param, paths
 
 
@@ -76,7 +76,7 @@ def test_control_rows_are_the_committed_rows(spark, lake):
                 == refined[f"tb_refined_data_viz_{subject}", key]
             )
         assert read_table(spark, paths.stage, load).count() == refined["tb_refined_stage", key]
-    books = spark.read.parquet(paths.book).groupBy("ref").count().collect()
+    books = read_table(spark, paths.book).groupBy("ref").count().collect()
     assert {r.ref: r["count"] for r in books} == {
         200107: refined["tb_refined_book", int(JULY)],
         200108: refined["tb_refined_book", int(AUGUST)],
@@ -95,12 +95,12 @@ def test_rows_loaded_twice(spark, lake):
 
 def test_layout_and_types(spark, lake):
     _, paths = lake
-    trusted = {s: dict(spark.read.parquet(paths.trusted(s)).dtypes) for s in SUBJECTS}
+    trusted = {s: dict(read_table(spark, paths.trusted(s)).dtypes) for s in SUBJECTS}
     assert trusted["transactions"]["ref"] == "int"
     assert all(trusted[s]["dt_proc"] == "bigint" for s in SUBJECTS)
-    stage = spark.read.parquet(paths.stage)
+    stage = read_table(spark, paths.stage)
     assert dict(stage.dtypes)["dt_proc"] == "bigint" and stage.columns[-1] == "ref"
-    book = spark.read.parquet(paths.book)
+    book = read_table(spark, paths.book)
     assert len(book.columns) == 683 and book.columns[-2:] == ["dt_proc", "ref"]
     control_types = read_audit(spark, paths.control("refined")).dtypes
     assert control_types == [("tb_name", "string"), ("dt_proc", "bigint"), ("qtd_registros", "bigint")]
@@ -110,7 +110,7 @@ def test_one_load_is_read_from_its_directory_only(spark, lake):
     _, paths = lake
     plan = read_table(spark, paths.snapshot("customers"), AUGUST)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(dt_proc" in plan
-    newest = newest_load(spark.read.parquet(paths.snapshot("customers")))
+    newest = newest_load(read_table(spark, paths.snapshot("customers")))
     assert rows(newest) == rows(read_table(spark, paths.snapshot("customers"), AUGUST))
     assert "PartitionFilters: [isnotnull(dt_proc" in newest._jdf.queryExecution().toString()
 
@@ -165,7 +165,7 @@ def test_a_repeated_run_changes_nothing(spark, sf_dir, tmp_path, monkeypatch):
         tables = [paths.raw("stores"), paths.trusted("transactions"), paths.snapshot("transactions"),
                   paths.stage, paths.book]
         sums = lambda df: rows(df.groupBy("dt_proc").agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38)"))))
-        return [sums(spark.read.parquet(t)) for t in tables], [
+        return [sums(read_table(spark, t)) for t in tables], [
             control(spark, paths, x) for x in ("raw", "trusted", "refined")
         ]
 
@@ -202,7 +202,7 @@ def test_batches_do_not_pretend_to_clean_up(spark, tmp_path):
     with pytest.raises(ValueError):
         run_month(spark, paths, AUGUST, AUGUST_END, clean="delete")
     with pytest.raises(ValueError):
-        run_month(spark, paths, AUGUST, AUGUST_END, landing="stream", on_bad_row="reject")
+        run_month(spark, paths, AUGUST, AUGUST_END, loads="some")
 
 
 def test_rejected_rows_are_kept(spark, tmp_path):
@@ -216,15 +216,15 @@ def test_rejected_rows_are_kept(spark, tmp_path):
     report = run_month(spark, paths, AUGUST, AUGUST_END, on_bad_row="reject", **only)
     assert report.rows["tb_raw_employees"] == report.rows["tb_refined_data_viz_employees"] == 1
     assert report.rows["tb_raw_rejected_employees"] == 1
-    kept = spark.read.parquet(paths.rejected("employees"))
+    kept = read_table(spark, paths.rejected("employees"))
     assert rows(kept.select("rejected_row", "Name", "dt_proc")) == [("x,2,Li,Clerk", "Li", int(AUGUST))]
 
 
-def test_only_new_loads(spark, sf_dir, tmp_path):
+def test_only_own_loads(spark, sf_dir, tmp_path):
     paths = LakePaths(str(tmp_path))
     drop_landing_files(spark, sf_dir, paths)
-    first = run_month(spark, paths, JULY, JULY_END, loads="new")
-    second = run_month(spark, paths, AUGUST, AUGUST_END, loads="new")
+    first = run_month(spark, paths, JULY, JULY_END, loads="own")
+    second = run_month(spark, paths, AUGUST, AUGUST_END, loads="own")
     assert first.rows == second.rows
 
 
@@ -238,7 +238,7 @@ def test_steps_as_separate_applications(spark, sf_dir, tmp_path):
     whole = LakePaths(str(tmp_path / "whole"))
     drop_landing_files(spark, sf_dir, whole)
     main(["--root", whole.root, "--as-of", "2001-08-11", "--dt-proc", AUGUST], spark)
-    book = lambda p: rows(spark.read.parquet(p.book).drop("dt_proc"))
+    book = lambda p: rows(read_table(spark, p.book).drop("dt_proc"))
     assert book(paths) == book(whole)
 
 
@@ -250,7 +250,7 @@ def test_runs_with_incremental_landing(spark, tmp_path):
     spec = SUBJECTS["employees"]
     header = ",".join(h for h, _, _ in spec.landing)
     arguments = ["--root", paths.root, "--landing", "stream", "--clean", "archive",
-                 "--subjects", "employees", "--as-of", "2001-08-31"]
+                 "--subjects", "employees", "--as-of", "2001-08-31", "--loads", "all"]
     for number, load in enumerate((JULY, AUGUST)):
         (folder / f"employees-{number}.csv").write_text(f"{header}\n{number},2,Bo,Clerk\n7,2,Li,Clerk\n")
         main([*arguments, "--dt-proc", load], spark)
@@ -258,7 +258,7 @@ def test_runs_with_incremental_landing(spark, tmp_path):
         ("tb_raw_employees", int(JULY)): 2, ("tb_raw_employees", int(AUGUST)): 2,
     }
     assert control(spark, paths, "trusted")["tb_trusted_employees", int(AUGUST)] == 3
-    newest = newest_load(spark.read.parquet(paths.snapshot("employees")))
+    newest = newest_load(read_table(spark, paths.snapshot("employees")))
     assert sorted(r.employee_id for r in newest.collect()) == [0, 1, 7]
     assert not (folder / "employees-0.csv").exists()
     assert list((tmp_path / "00_archive").rglob("employees-0.csv"))
@@ -272,7 +272,7 @@ def test_all_snapshots_count_amounts_once_per_snapshot(spark, sf_dir, tmp_path):
     run_month(spark, paths, AUGUST, AUGUST_END, snapshots="all", **only)
     totals = {
         str(r.dt_proc): (r.items, r.sales)
-        for r in spark.read.parquet(paths.stage)
+        for r in read_table(spark, paths.stage)
         .groupBy("dt_proc")
         .agg(F.sum("fvl_qtd_itens_transacao").alias("items"), F.sum("fvl_qtd_transacoes").alias("sales"))
         .collect()
