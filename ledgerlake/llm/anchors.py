@@ -16,6 +16,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from ledgerlake.llm.tables import shuffles_removed
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 BLOCK = 1 << 16
+LONGEST_SHORT_WORD = 64
 LARGEST_SKETCH = 27  # log2 of the cells of one of the two rows: 16 MB as bits
 TASKS_AT_ONCE = 256
 
@@ -90,7 +92,15 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_units(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return Spans(byte_units(data), 0).hashes(begin, end) ^ mixed((end - begin).astype(np.uint64))
+    """A hash of each word.
+
+    Polynomials modulo 2^64 tell short words apart; from about a thousand letters on there are
+    words that collide under every base, so longer words have another hash.
+    """
+    units = Spans(byte_units(data), 0).hashes(begin, end) ^ mixed((end - begin).astype(np.uint64))
+    for k in np.flatnonzero(end - begin > LONGEST_SHORT_WORD).tolist():
+        units[k] = xxhash.xxh3_64_intdigest(data[begin[k] : end[k]].tobytes())
+    return units
 
 
 @dataclass

@@ -3,8 +3,14 @@
 The shingles of a document are put in one global order, rarest first. Two sets with
 a Jaccard similarity of t or more share a shingle among the first n - ceil(t n) + 1
 of each (prefix). Documents with equal prefixes and sizes form one group; groups
-that share prefix shingles are filtered by size and position, then the pairs that
-are left are expanded to members and verified on whole sets.
+that share prefix shingles are filtered by size, by position and by how many prefix
+shingles they share, then the pairs that are left are expanded to members and verified on
+the whole sets of their texts. Until then no set is written or shuffled: texts are read once
+more, and only those of the pairs.
+
+Of two prefixes the one that ends first in the global order can meet the other set only in
+the other prefix. So if c shingles are in both prefixes, the sets share at most c and
+what the longer remainder behind a prefix holds: mere chance meetings do not get any further.
 
 Only what is connected matters, so verification comes in two rounds. In the first
 every group is compared with the group it shares most shingles with among the
@@ -19,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -42,7 +48,6 @@ SHINGLE = 5
 TENTHS = 8  # similarity of 0.8, as whole tenths
 LISTED = 200_000  # most frequent shingles whose order is known; the others count as rare
 COUNTED_AT_ONCE = 2_000_000
-SHORT_SET = 4_096
 BYTES_PER_SHINGLE = 30  # of text, per shingle that is counted
 
 
@@ -126,23 +131,6 @@ class Prefixes:
         self.anchor, self.owner, self.place = sets.value[order][inside], sets.owner[inside], place[inside]
 
 
-def packed_set(values: np.ndarray) -> bytes:
-    """Sorted hashes, of ordinary sets their first five bytes: 2^-40 for a wrong match of two."""
-    if len(values) > SHORT_SET:
-        return values.tobytes()
-    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def unpacked_set(data: pa.Scalar, n: int, short: bool) -> np.ndarray:
-    raw = np.frombuffer(data.as_buffer(), np.uint8)
-    values = raw.view(np.uint64) if n > SHORT_SET else None
-    if values is None:
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, 3:] = raw.reshape(n, 5)
-        return wide.view(">u8").ravel().astype(np.uint64)
-    return values >> np.uint64(24) if short else values
-
-
 def prefix_shingles(data: np.ndarray, offsets: np.ndarray, listed, shingle: int, tenths: int) -> Prefixes:
     return Prefixes(Sets(data, offsets, shingle), listed.value, tenths)
 
@@ -150,7 +138,7 @@ def prefix_shingles(data: np.ndarray, offsets: np.ndarray, listed, shingle: int,
 def document_batches(
     batches: Iterator[pa.RecordBatch], listed, bits, size: int, shingle: int, tenths: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    """Per text its set's size and hash, and if another text may share its prefix, prefix and set."""
+    """Per text its set's size and hash, and the shingles of its prefix that another text may have."""
     for batch in batches:
         for rows, data, offsets in text_slices(batch):
             sets = Sets(data, offsets, shingle)
@@ -165,46 +153,72 @@ def document_batches(
             kept = met_twice(prefix.anchor, bits.value, size)
             # Linked sets share a shingle of both prefixes, whatever their sizes: it is met twice.
             owner, anchor, place = prefix.owner[kept], prefix.anchor[kept], prefix.place[kept]
-            sizes = np.bincount(owner, minlength=many)
-            open_ = sizes > 0
-            ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            content = [
-                packed_set(sets.value[e - s : e]) if o else None
-                for e, s, o in zip(sets.ends.tolist(), sets.sizes.tolist(), open_.tolist())
-            ]
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=many))).astype(np.int32))
             yield record_batch(schema, [
                 rows.column(0), sets.sizes, as_signed(sums[0]), as_signed(sums[1]), as_signed(group),
                 pa.ListArray.from_arrays(ends, pa.array(as_signed(anchor))),
-                pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int64))), content,
+                pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int64))),
             ])
 
 
-def verified_batches(batches: Iterator[pa.RecordBatch], tenths: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def shingle_set(text: str, shingle: int) -> set:
+    """The distinct shingles of a text as words, without hashes."""
+    words = text.encode().lower().split()
+    if len(words) < shingle:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[k:] for k in range(shingle))))
+
+
+def verified_batches(
+    batches: Iterator[pa.RecordBatch], shingle: int, tenths: int, schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-        for (n, m), a, b in zip(sizes, batch.column(4), batch.column(5)):
-            short = min(n, m) <= SHORT_SET
-            x, y = unpacked_set(a, n, short), unpacked_set(b, m, short)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(10 * shared >= tenths * (n + m - shared))
+        good, known, of_known = [], None, set()
+        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if a != known:  # neighbouring pairs often have a text in common
+                known, of_known = a, shingle_set(a, shingle)
+            other = shingle_set(b, shingle)
+            shared = len(of_known & other)
+            good.append(10 * shared >= tenths * (len(of_known) + len(other) - shared))
         yield record_batch(schema, list(batch.filter(pa.array(good, pa.bool_())).columns[:2]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, kind: str, tenths: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, kind: str, shingle: int, tenths: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough, as a written table.
 
-    Pairs are written first: few of them are then broadcast by Spark, by their size.
+    Pairs are written first: few of them are then broadcast by Spark, by their size, and all
+    texts but theirs are left out before anything is shuffled.
     """
     ddl = f"a {kind}, b {kind}"
-    run = partial(verified_batches, tenths=tenths, schema=to_arrow_schema(StructType.fromDDL(ddl)))
-    checked = (
-        written(pairs, "jaccard-pairs").join(sets.toDF("a", "n", "x"), "a").join(sets.toDF("b", "m", "y"), "b")
-        .select("a", "b", "n", "m", "x", "y").mapInArrow(run, ddl)
+    run = partial(
+        verified_batches, shingle=shingle, tenths=tenths, schema=to_arrow_schema(StructType.fromDDL(ddl))
     )
+    pairs = written(pairs, "jaccard-pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    texts = written(
+        docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(ids, "doc_id", "left_semi"),
+        "jaccard-texts",
+    )
+    with_texts = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    checked = with_texts.select("a", "b", "x", "y").mapInArrow(run, ddl)
     return written(checked.distinct(), "jaccard-links")
 
 
+def most_shared(tenths: int) -> Column:
+    """Shingles that sets of n_a and n_b can have in common, if `c` are in both prefixes."""
+    behind = lambda n: F.greatest(F.expr(f"({tenths} * {n} + 9) div 10 - 1"), F.lit(0))
+    return F.col("c") + F.greatest(behind("n_a"), behind("n_b"))
+
+
+def needed(tenths: int) -> Column:
+    """Shingles that linked sets of n_a and n_b have in common at least."""
+    return F.expr(f"({tenths} * (n_a + n_b) + {tenths + 9}) div {tenths + 10}")
+
+
+def fitting_sizes(tenths: int) -> Column:
+    return F.expr(f"10 * least(n_a, n_b) >= {tenths} * greatest(n_a, n_b)")
+
+
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
@@ -214,8 +228,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     document. A row without an id takes no part and has a null component. An empty
     table gives an empty result, further columns play no part.
 
-    Sets are compared by hashes of their shingles, 40 bits of them for sets of up to
-    4,096 and 64 beyond. Copies are one node from the
+    Pairs are compared by the words of their shingles. Rows whose sets have equal sizes and
+    equal 128-bit sums of hashes count as copies: they are one node from the
     start; no step emits the pairs within a group of similar texts that are already
     connected.
     """
@@ -228,7 +242,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     bits = broadcast(repeated_cells(docs, front, size))
     ddl = (
         f"doc_id {kind}, n bigint, s1 bigint, s2 bigint, g bigint,"
-        " shingles array<bigint>, places array<bigint>, content binary"
+        " shingles array<bigint>, places array<bigint>"
     )
     run = partial(
         document_batches, listed=listed, bits=bits, size=size, shingle=shingle, tenths=tenths,
@@ -237,15 +251,14 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     rows = written(docs.select("doc_id", "text").mapInArrow(run, ddl), "shingle-sets")
 
     usable = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = usable.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"))
-    kept = usable.where(F.col("content").isNotNull())
+    classes = usable.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
+    kept = usable.where(F.size("shingles") > 0)
     nodes = written(
         kept.select("doc_id", "n", "s1", "s2", "g", "shingles", "places")
-        .join(classes, ["s1", "s2"]).where(F.col("doc_id") == F.col("id"))
+        .join(classes, ["n", "s1", "s2"]).where(F.col("doc_id") == F.col("id"))
         .select("id", "n", "g", "shingles", "places"),
         "shingle-nodes",
     )
-    sets = kept.select("doc_id", "n", "content")
     groups = nodes.groupBy("g").agg(F.min("id").alias("gid"))
     members = written(nodes.select("id", "n", "g").distinct().join(groups, "g"), "shingle-groups")
     posts = written(
@@ -257,13 +270,20 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     first = posts.groupBy("shingle").agg(F.min("gid").alias("hub"), F.max("gid").alias("last")).where("hub != last")
     nearest = (
         posts.join(first, "shingle").where("gid != hub")
-        .groupBy("gid", "hub").agg(F.count("*").alias("shared"))
-        .groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+        .groupBy("gid", "hub").agg(F.count("*").alias("met"))
+        .groupBy("gid").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub"))
+    )
+    of_group = nodes.select(F.col("id").alias("gid"), "n", "shingles")
+    chosen = (
+        nearest.join(of_group.withColumnsRenamed({"n": "n_a", "shingles": "a"}), "gid")
+        .join(of_group.toDF("hub", "n_b", "b"), "hub")
+        .select("gid", "hub", "n_a", "n_b", F.size(F.array_intersect("a", "b")).alias("c"))
+        .where(fitting_sizes(tenths)).where(most_shared(tenths) >= needed(tenths))
     )
-    pairs = nearest.select(F.col("gid").alias("a"), F.col("hub").alias("b")).unionByName(
-        members.where("id != gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
+    pairs = chosen.select(F.col("hub").alias("a"), F.col("gid").alias("b")).unionByName(
+        members.where("id != gid").select(F.col("gid").alias("a"), F.col("id").alias("b"))
     )
-    links = verified(pairs, sets, kind, tenths)
+    links = verified(pairs, docs, kind, shingle, tenths)
     labels = components(nodes.select("id").distinct(), links)
 
     labelled = members.join(labels, "id")
@@ -273,16 +293,15 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     open_posts = written(open_posts.join(split.select("shingle"), "shingle", "left_semi"), "open-posts")
     left = open_posts.select([F.col(c).alias(f"{c}_a") if c != "shingle" else F.col(c) for c in open_posts.columns])
     right = open_posts.select([F.col(c).alias(f"{c}_b") if c != "shingle" else F.col(c) for c in open_posts.columns])
-    need = F.expr(f"({tenths} * (n_a + n_b) + {tenths + 9}) div {tenths + 10}")
     behind = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     cell_pairs = (
         left.join(right, "shingle")
-        .where("label_a < label_b")
-        .where(F.expr(f"10 * least(n_a, n_b) >= {tenths} * greatest(n_a, n_b)"))
-        # Shingles in front of the first shared one can't be shared; any other shared one
-        # only makes this bound smaller, and the pair comes by its first one as well.
-        .where(behind >= need)
-        .select("gid_a", "label_a", "gid_b", "label_b").distinct()
+        .where("label_a < label_b").where(fitting_sizes(tenths))
+        .groupBy("gid_a", "label_a", "gid_b", "label_b", "n_a", "n_b")
+        .agg(F.count("*").alias("c"), F.max(behind).alias("behind"))
+        # What stands in front of the first shared shingle can't be shared.
+        .where(F.col("behind") >= needed(tenths)).where(most_shared(tenths) >= needed(tenths))
+        .select("gid_a", "label_a", "gid_b", "label_b")
     )
     of = labelled.select("gid", "label", "id")
     open_pairs = (
@@ -290,7 +309,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
         .join(of.toDF("gid_b", "label_b", "b"), ["gid_b", "label_b"])
         .select("a", "b").distinct()
     )
-    more = verified(open_pairs, sets, kind, tenths)
+    more = verified(open_pairs, docs, kind, shingle, tenths)
     relabelled = components(
         labels.select(F.col("label").alias("id")).distinct(),
         more.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
@@ -298,9 +317,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     )
     final = labels.join(relabelled.toDF("label", "component"), "label").select("id", "component")
     of_class = classes.join(final, "id", "left").select(
-        "s1", "s2", F.coalesce("component", "id").alias("component_id")
+        "n", "s1", "s2", F.coalesce("component", "id").alias("component_id")
     )
-    out = rows.where("n > 0").select("doc_id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left").select(
+    out = rows.where("n > 0").select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
@@ -312,10 +331,15 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
 def one_of_each_component(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TENTHS) -> DataFrame:
     """The document with the smallest id of each component; rows without an id all stay.
 
-    Of rows that repeat an id one stays.
+    Of rows that repeat id and text one stays; different texts under one id are one document
+    and stay or go together.
     """
     first = (
         jaccard_components(docs, shingle, tenths).where("doc_id = component_id").select("doc_id").distinct()
     )
+    text_hash = "_text"
+    while text_hash in docs.columns:
+        text_hash += "_"
     named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    named = named.withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash])
+    return named.drop(text_hash).unionByName(docs.where(F.col("doc_id").isNull()))

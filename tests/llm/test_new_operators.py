@@ -13,9 +13,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import kneser_ney
+from ledgerlake.llm.jaccard_join import jaccard_components, one_of_each_component
 from ledgerlake.llm.kneser_ney import lm_scores
 from ledgerlake.llm.periodic_runs import periodic_runs, runs_of_slice
 from ledgerlake.llm.queries import QUERIES
+from ledgerlake.llm.substrings import substring_dedup
 from ledgerlake.llm.whitening import PART_BITS, parts_of, scatter, whiten
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+").findall
@@ -317,3 +319,55 @@ def test_packed_numbers_come_back():
         assert (kneser_ney.unpacked(kneser_ney.packed(values)) == values).all()
         ascending = np.sort(values)
         assert (kneser_ney.unpacked_ascending(kneser_ney.packed_ascending(ascending)) == ascending).all()
+
+
+# Words and sets that only an exact comparison tells apart
+
+def thue_morse(n, one="a", two="b"):
+    return "".join((one, two)[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Long words whose polynomial hashes are equal modulo 2^64 under every odd base."""
+    one, two = thue_morse(1024), thue_morse(1024, "b", "a")
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id bigint, text string")
+    got = {r[0]: r[2] for r in jaccard_components(docs, 3, 9).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    around = [f"w{k}" for k in range(40)]
+    texts = [" ".join([*around[:20], word, *around[20:]]) for word in (one, two)]
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1])], "doc_id bigint, text string")
+    assert [r["n_removed"] for r in substring_dedup(docs, digest=True).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("shingle, tenths", [(3, 9), (5, 8)])
+def test_links_at_the_threshold_for_all_sizes(spark, shingle, tenths):
+    """Pairs of sets with exactly the similarity asked for, and one shingle less."""
+    rows, want = [], {}
+    for n in range(1, 41):
+        for m in range(max(1, tenths * n // 10), n + 1):
+            shared = next((s for s in range(m, -1, -1) if 10 * s <= tenths * (n + m - s)), 0)
+            for s in (shared, shared - 1):
+                if s < 0 or m - s > n:
+                    continue
+                # Words in a row: s shingles at the beginning of both, and different ones behind.
+                base = [f"{n}x{m}x{s}w{k}" for k in range(s + shingle - 1)]
+                texts = [base + [f"{n}x{m}x{s}{c}{k}" for k in range(size - s)] for c, size in (("p", n), ("q", m))]
+                if s == 0:
+                    texts = [t[:] for t in texts]
+                first = len(rows) + 1
+                rows += [(first, " ".join(texts[0])), (first + 1, " ".join(texts[1]))]
+                sets = [set(zip(*(t[k:] for k in range(shingle)))) or {tuple(t)} for t in texts]
+                both = len(sets[0] & sets[1])
+                linked = 10 * both >= tenths * len(sets[0] | sets[1])
+                want[first], want[first + 1] = first, first if linked else first + 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sum(k != v for k, v in want.items()) > 20
+    assert {r[0]: r[2] for r in jaccard_components(docs, shingle, tenths).collect()} == want
+
+
+def test_different_texts_under_one_id_stay_together(spark):
+    rows = [(1, "a b c d e f"), (1, "q r s t u v"), (1, "a b c d e f"), (2, "z z z z y y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_text", F.lit(1))
+    kept = one_of_each_component(docs)
+    assert sorted((r[0], r[1]) for r in kept.collect()) == [rows[0], rows[1], rows[3]]
+    assert kept.columns == docs.columns
