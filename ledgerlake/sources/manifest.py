@@ -18,6 +18,7 @@ from uuid import uuid4
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.operators.audit import counted_write
 
@@ -158,7 +159,7 @@ def committed_files(spark: SparkSession, path: str) -> DataFrame:
     part = lambda key: F.regexp_extract(name, f"/{key}=([^/]+)/", 1).alias(key)
     found = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-        .schema("").parquet(path).select(part("dt_proc"), part("version"), name.alias("file"))
+        .schema(StructType([])).parquet(path).select(part("dt_proc"), part("version"), name.alias("file"))
         .groupBy("dt_proc", "version", "file").agg(F.count("*").alias("rows"))
         .groupBy("dt_proc", "version")
         .agg(F.count("*").alias("found_files"), F.sum("rows").alias("found_rows"))
