@@ -396,6 +396,11 @@ ORACLE: dict[str, str] = {
                               || "Position" END AS rejected_row,
            CAST({FIRST_LOAD} AS BIGINT) AS dt_proc
     FROM ({_BROKEN_EMPLOYEES})""",
+    "landing_drift": f"""
+    SELECT * REPLACE (CASE WHEN "Product ID" % 3 <> 2 THEN "Color" END AS "Color"),
+           CASE WHEN "Product ID" % 3 = 1 AND "Product ID" % 2 = 0
+                THEN 'S' || "Product ID" % 4 END AS season
+    FROM ({_RAW["products"]})""",
     "load_replaced": f"""
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,
            CAST({SECOND_LOAD} AS BIGINT) AS dt_proc

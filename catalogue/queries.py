@@ -40,6 +40,7 @@ from ledgerlake.operators.standardise import standardise
 from ledgerlake.operators.states import StateStore
 from ledgerlake.operators.windows import recency_windows
 from ledgerlake.plans.monthly_run import RunFailed, run_month
+from ledgerlake.sources.drift import EXTRA, read_drifting
 from ledgerlake.sources.landing import BAD_ROW
 from ledgerlake.sources.layers import (
     LakePaths,
@@ -443,6 +444,23 @@ def landing_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitting.unionByName(read_table(spark, paths.rejected("employees")))
 
 
+def landing_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops of products: as specified, in another order with a new column, and without one."""
+    folder = LakePaths(scratch_dir(spark, "drift")).landing("products")
+    products = RAW["products"](spark, sf_dir)
+    key = F.col("Product ID")
+    other_order = products.select(*reversed(products.columns)).withColumn(
+        "Season", F.when(key % 2 == 0, F.concat(F.lit("S"), (key % 4).cast("string")))
+    ).withColumnRenamed("Sub Category", "sub_category")
+    _write_csv(products.where(key % 3 == 0), f"{folder}/first")
+    _write_csv(other_order.where(key % 3 == 1), f"{folder}/second")
+    _write_csv(products.where(key % 3 == 2).drop("Color"), f"{folder}/third")
+    fitting, rejected = read_drifting(spark, f"{folder}/*", SUBJECTS["products"])
+    return fitting.unionByName(rejected.drop(BAD_ROW)).withColumn(
+        EXTRA, F.col(EXTRA)["Season"]
+    ).withColumnRenamed(EXTRA, "season")
+
+
 def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of CSV files, two incremental runs: each file is taken in once."""
     paths = LakePaths(scratch_dir(spark, "landing"))
@@ -530,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "write_by_ref_roundtrip": write_by_ref_roundtrip,
     "landing_incremental": landing_incremental,
     "landing_rejected": landing_rejected,
+    "landing_drift": landing_drift,
     "load_replaced": load_replaced,
     "trusted_new_loads": trusted_new_loads,
     "snapshot_new_loads": snapshot_new_loads,

@@ -15,7 +15,6 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,6 +38,12 @@ def _log(path: str) -> str:
     return f"{path}/_loads"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """A path of any file system that Spark reaches, and that file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def version_folder(path: str, dt_proc: str, version: str) -> str:
     return f"{path}/dt_proc={dt_proc}/version={version}"
 
@@ -48,12 +53,10 @@ def committed(spark: SparkSession, path: str) -> list[Version] | None:
 
     The log has one row per write of a load: a few for each month.
     """
-    try:
-        log = spark.read.schema(LOG_SCHEMA).json(_log(path))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    folder, files = _file_system(spark, _log(path))
+    if not files.exists(folder):
+        return None
+    log = spark.read.schema(LOG_SCHEMA).json(_log(path))
     return [
         Version(r["dt_proc"], r["version"], r["rows"], r["adds"])
         for r in sorted(log.collect(), key=lambda r: r["entry"])
@@ -120,12 +123,14 @@ def write_loads(
     """
     spark, name = df.sparkSession, f"{version_prefix}{uuid4().hex}"
     named = df.withColumnRenamed(column, "dt_proc").withColumn("version", F.lit(name))
-    named.write.mode("append").partitionBy("dt_proc", "version").parquet(path)
-    written = (
-        spark.read.option("basePath", path).parquet(path).where(F.col("version") == name)
-        .groupBy("dt_proc").count().collect()
+    total = counted_write(
+        named,
+        lambda counted: counted.write.mode("append").partitionBy("dt_proc", "version").parquet(path),
     )
-    rows = {str(r["dt_proc"]): r["count"] for r in written}
+    rows = {}
+    if total:
+        written = spark.read.option("basePath", path).parquet(version_folder(path, "*", name))
+        rows = {str(r["dt_proc"]): r["count"] for r in written.groupBy("dt_proc").count().collect()}
     versions = [Version(load, name, n) for load, n in rows.items()]
     empty = df.limit(0).drop(column)
     versions += [
@@ -179,11 +184,9 @@ def remove_replaced(spark: SparkSession, path: str) -> list[str]:
     }
     if not counting:
         return []
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    root = hadoop(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    pattern, files = _file_system(spark, version_folder(path, "*", "*"))
     removed = []
-    for status in files.globStatus(hadoop(version_folder(path, "*", "*"))):
+    for status in files.globStatus(pattern):
         folder = status.getPath()
         load = folder.getParent().getName().removeprefix("dt_proc=")
         if (load, folder.getName().removeprefix("version=")) not in counting:
