@@ -106,6 +106,16 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that overlap with no benchmark item; a null id is an id here."""
-    leaked = benchmark_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(F.col("_leaked")), "left_anti")
+    """The rows of `docs` that overlap with no benchmark item, by id and text.
+
+    Of rows with one id, or with none, those go whose own text overlaps.
+    """
+    keyed = docs.select(
+        F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text")).alias("doc_id"), "text"
+    )
+    leaked = benchmark_leaks(keyed, benchmark).select(F.col("doc_id").alias("key")).distinct().alias("leaked")
+    own = docs.alias("own")
+    same = F.col("own.doc_id").eqNullSafe(F.col("leaked.key.doc_id")) & (
+        F.xxhash64("own.text") == F.col("leaked.key.text")
+    )
+    return own.join(leaked, same, "left_anti")

@@ -60,8 +60,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     execution can cut.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*kept).withColumn("body", F.xxhash64("text"))
-    placed = placed_chunks(rows.select("doc_id", "body", "text").where(F.col("text").isNotNull()))
+    # The given columns travel as one, so that no name of theirs meets one of the plan's.
+    rows = docs.select(F.struct(*kept).alias("row")).withColumn("body", F.xxhash64("row.text"))
+    named = rows.select(F.col("row.doc_id").alias("doc_id"), "body", F.col("row.text").alias("text"))
+    placed = placed_chunks(named.where(F.col("text").isNotNull()))
     placed = placed.withColumn("h1", F.xxhash64("chunk")).withColumn("h2", F.xxhash64(F.lit(1), "chunk"))
     where = F.struct("doc_id", "body", "begin")
     repeated = (
@@ -80,12 +82,20 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set(F.struct("begin", "n")).alias("spans"))
         .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), "spans")
     )
-    joined = rows.join(removed, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body")), "left")
-    gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["begin"] + s["n"] - 1)))
-    lines = F.split("text", "\n")
-    rest = F.filter(lines, lambda line, k: ~F.array_contains(F.col("_gone"), k))
-    return joined.withColumn("_gone", gone).select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n")).alias("text") if c == "text" else F.col(c) for c in kept],
-        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+    same = rows["row.doc_id"].eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+    joined = rows.join(removed, same, "left").withColumn("lines", F.split("row.text", "\n"))
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(F.array_join(kept_lines(), "\n"))
+    gone = F.aggregate("spans", F.lit(0), lambda n, s: n + s["n"])
+    return joined.select(
+        *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in kept],
+        F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(gone, F.lit(0)).cast("bigint").alias("n_removed"),
     )
+
+
+def kept_lines() -> Column:
+    """The lines between the removed spans, each looked at once; chunks do not overlap."""
+    spans = F.array_sort("spans")
+    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["begin"] + s["n"]))
+    ends = F.concat(F.transform(spans, lambda s: s["begin"]), F.array(F.size("lines")))
+    return F.flatten(F.zip_with(begins, ends, lambda begin, end: F.slice("lines", begin + 1, end - begin)))

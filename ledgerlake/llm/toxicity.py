@@ -294,7 +294,10 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` with a score below the threshold, see `toxicity`."""
-    return with_scores(docs, toxicity_model(docs, labels), "_score").where(F.col("_score") < threshold).drop("_score")
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return with_scores(docs, toxicity_model(docs, labels), name).where(F.col(name) < threshold).drop(name)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
