@@ -297,11 +297,15 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     cell_pairs = (
         left.join(right, "shingle")
         .where("label_a < label_b").where(fitting_sizes(tenths))
-        .groupBy("gid_a", "label_a", "gid_b", "label_b", "n_a", "n_b")
-        .agg(F.count("*").alias("c"), F.max(behind).alias("behind"))
-        # What stands in front of the first shared shingle can't be shared.
-        .where(F.col("behind") >= needed(tenths)).where(most_shared(tenths) >= needed(tenths))
-        .select("gid_a", "label_a", "gid_b", "label_b")
+        # Shingles in front of the first shared one can't be shared; any other shared one
+        # only makes this bound smaller, and the pair comes by its first one as well.
+        .where(behind >= needed(tenths))
+        .select("gid_a", "label_a", "gid_b", "label_b").distinct()
+    )
+    cell_pairs = (
+        cell_pairs.join(of_group.toDF("gid_a", "n_a", "first"), "gid_a").join(of_group.toDF("gid_b", "n_b", "second"), "gid_b")
+        .withColumn("c", F.size(F.array_intersect("first", "second")))
+        .where(most_shared(tenths) >= needed(tenths)).select("gid_a", "label_a", "gid_b", "label_b")
     )
     of = labelled.select("gid", "label", "id")
     open_pairs = (
