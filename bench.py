@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR names the tables, BENCH_CPUS the threads. Every query is built and
 run to the end (all rows and columns, no output files) three times; the fastest
-run counts, so that starting up the JVM does not.
+run counts, so that starting up the JVM does not. With BENCH_COMPARE=1 the other forms of
+book and latest load are timed as well, once each and outside the total.
 """
 
 from __future__ import annotations
@@ -17,7 +18,12 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from catalogue.queries import QUERIES  # noqa: E402
+from catalogue.queries import QUERIES, transactions  # noqa: E402
+from catalogue.retail import AS_OF, DT_PROC, shipped_lines  # noqa: E402
+from ledgerlake.operators.book import feature_book  # noqa: E402
+from ledgerlake.operators.dedup import latest_load  # noqa: E402
+from ledgerlake.operators.stage import book_lines  # noqa: E402
+from ledgerlake.operators.windows import recency_windows  # noqa: E402
 
 HEADLINES = (
     "trusted_transactions",
@@ -30,9 +36,23 @@ HEADLINES = (
     "book_full_from_stage",
     "book_dictionary",
 )
+COMPARED = {
+    "book_full_wide": lambda spark, sf_dir: feature_book(
+        recency_windows(book_lines(transactions(spark, sf_dir), DT_PROC, AS_OF), AS_OF), form="wide"
+    ),
+    "dedup_latest_transactions_rank": lambda spark, sf_dir: latest_load(
+        shipped_lines(spark, sf_dir), "invoice_id", strategy="rank"
+    ),
+}
 RUNS = 3
 
 
+def timed(query, spark: SparkSession, sf_dir: str) -> float:
+    start = time.perf_counter()
+    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -51,12 +71,10 @@ def main() -> None:
 
     seconds = {}
     for name in names:
-        runs = []
-        for _ in range(RUNS):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs), 3)
+        seconds[name] = round(min(timed(QUERIES[name], spark, sf_dir) for _ in range(RUNS)), 3)
+    compared = {}
+    if os.environ.get("BENCH_COMPARE") == "1":
+        compared = {name: round(timed(query, spark, sf_dir), 3) for name, query in COMPARED.items()}
     spark.stop()
 
     print(
@@ -67,6 +85,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
+                **({"compared": compared} if compared else {}),
             }
         )
     )
