@@ -410,3 +410,29 @@ def test_many_short_lines_take_linear_time(spark):
     got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup(docs).collect()}
     assert got[1] == (120_000, 0) and got[2][0] == 120_001 and got[2][1] > 50_000
     assert time.time() - begin < 60
+
+
+def test_long_pre_tokens_are_counted_as_the_library_does():
+    import random
+    import time
+
+    import tokenizers
+
+    from ledgerlake.llm.queries import vocabulary_path
+    from ledgerlake.llm.token_counts import long_count, merge_counts
+    from ledgerlake.llm.vocabulary import vocabulary
+
+    vocab = vocabulary(vocabulary_path())
+    library = tokenizers.Tokenizer.from_file(vocabulary_path())
+    draw = random.Random(3)
+    words = ["the", "and", "aaaa", "a", "ing", "ab", "therefore", "zzq", "é", "ß", "tion", "xx"]
+    texts = ["".join(draw.choice(words) for _ in range(n)) for n in (1, 2, 5, 30, 300, 900)]
+    texts += ["a" * n for n in (2, 3, 7, 64, 2_047, 5_000)] + ["ab" * 2_000, "aab" * 1_500, "é" * 1_111]
+    texts += ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6_000))]
+    expected = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [long_count(vocab, t.encode()) for t in texts] == expected
+    assert merge_counts(vocab, [t.encode() for t in texts]).tolist() == expected
+    megabyte = "".join(draw.choice(words) for _ in range(300_000))[:1_000_000].encode()
+    start = time.monotonic()
+    long_count(vocab, megabyte)
+    assert time.monotonic() - start < 60
