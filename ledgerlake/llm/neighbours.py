@@ -14,31 +14,38 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 10_000  # vectors that rotations and radius are learned on
 SAMPLE_QUERIES = 200
 COVERAGE = 0.97  # share of the true neighbours in the sample that lie within the radius
-CODE_BITS, SUBSTRING_BITS = 128, 16
+CODE_BITS, SUBSTRING_BITS = 256, 16
 BLOCK_ROWS, BLOCK_QUERIES = 8_192, 4_096
 SALTS = 32
+MARGIN = 1e-9  # products of vectors of length 1 at most are exact to this
 
 
 @dataclass(frozen=True)
 class Coder:
     rotation: np.ndarray  # (dimensions + 1, CODE_BITS)
-    top_norm: float  # no indexed vector is longer
+    top: float  # binary logarithm of the longest indexed vector's length
     radius: int
 
+    def scaled(self, vectors: np.ndarray) -> np.ndarray:
+        """Lengths of 1 at most. Codes are taken from these: squares of huge entries don't overflow."""
+        whole = int(np.floor(self.top))
+        return np.ldexp(vectors, -whole) / 2 ** (self.top - whole)
+
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         """One more dimension gives all vectors the same length: largest inner product
         becomes smallest angle. Queries get 0 there."""
-        rest = np.maximum(self.top_norm**2 - (vectors**2).sum(1), 0)
+        rest = np.maximum(1 - (vectors**2).sum(1), 0)
         return np.hstack([vectors, np.sqrt(rest)[:, None]])
 
     def codes(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
         """Substrings of the codes, (rows, substrings) of 16 bits."""
+        vectors = self.scaled(vectors)
         lifted = np.pad(vectors, ((0, 0), (0, 1))) if query else self.lifted(vectors)
         bits = (lifted @ self.rotation) > 0
         return np.packbits(bits, axis=1).view(">u2").astype(np.uint16)
@@ -59,71 +66,83 @@ def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 20) -> np.ndarra
     return np.hstack(parts)
 
 
-_popcount = np.array([bin(v).count("1") for v in range(1 << SUBSTRING_BITS)], np.uint8)
+_popcount = np.bitwise_count(np.arange(1 << SUBSTRING_BITS, dtype=np.uint16))
 _ball = np.argsort(_popcount, kind="stable").astype(np.uint16)
 _ball_sizes = np.cumsum(np.bincount(_popcount))
 
 
+class Table:
+    """One substring of a block of codes: its distinct values and the rows that carry each."""
+
+    def __init__(self, column: np.ndarray):
+        self.column = np.ascontiguousarray(column)
+        self.rows = np.argsort(column, kind="stable")
+        self.values, self.starts = np.unique(column[self.rows], return_index=True)
+        self.starts = np.append(self.starts, len(column))
+
+    def mark(self, found: np.ndarray, value: int, begin: int, end: int) -> None:
+        """Mark the rows whose substring has a distance from `begin` to before `end` to the value.
+
+        The values in the ball are looked up one by one if they are far fewer than those of
+        the table; otherwise those are compared with the value, which finds the same.
+        """
+        ball = _ball[(_ball_sizes[begin - 1] if begin else 0) : _ball_sizes[end - 1]]
+        if 16 * len(ball) >= len(self.values):
+            found |= np.bitwise_count(self.column ^ np.uint16(value)) < end
+            return
+        sought = ball ^ np.uint16(value)
+        at = np.minimum(np.searchsorted(self.values, sought), len(self.values) - 1)
+        at = at[self.values[at] == sought]
+        size = self.starts[at + 1] - self.starts[at]
+        skip = np.repeat(self.starts[at] - (np.cumsum(size) - size), size)
+        found[self.rows[np.arange(len(skip)) + skip]] = True
+
+
 class MultiIndex:
-    """Substring tables of a block of codes: for each value the rows that carry it."""
+    """Substring tables of a block of codes."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.tables = []
-        for column in codes.T:
-            rows = np.argsort(column, kind="stable")
-            starts = np.zeros((1 << SUBSTRING_BITS) + 1, np.int64)
-            np.cumsum(np.bincount(column, minlength=1 << SUBSTRING_BITS), out=starts[1:])
-            self.tables.append((rows, starts))
-
-    def probe(self, table: int, value: int, begin: int, end: int) -> np.ndarray:
-        """Rows whose substring is one of the ball's values from `begin` to `end`."""
-        rows, starts = self.tables[table]
-        values = _ball[begin:end] ^ np.uint16(value)
-        first, size = starts[values], starts[values.astype(np.int64) + 1] - starts[values]
-        first, size = first[size > 0], size[size > 0]
-        if not len(size):
-            return rows[:0]
-        skip = np.repeat(first - np.append(0, np.cumsum(size)[:-1]), size)
-        return rows[np.arange(size.sum()) + skip]
+        self.packed = np.ascontiguousarray(codes).view(np.uint64)
+        self.tables = [Table(column) for column in codes.T]
 
     def within(self, code: np.ndarray, radius: int, at_least: int) -> np.ndarray:
         """All rows within the radius; the radius grows while they are fewer than `at_least`."""
-        many = len(self.tables)
-        found = np.zeros(len(self.codes), bool)
+        many, rows = len(self.tables), len(self.packed)
+        found = np.zeros(rows, bool)
         reached = [0] * many
-        at_least = min(at_least, len(self.codes))
+        at_least = min(at_least, rows)
+        packed = np.ascontiguousarray(code).view(np.uint64)
         while True:
-            for t in range(many):
-                near = radius // many - (t > radius % many)
-                end = int(_ball_sizes[min(near, SUBSTRING_BITS)]) if near >= 0 else 0
+            for t, table in enumerate(self.tables):
+                end = min(radius // many - (t > radius % many), SUBSTRING_BITS) + 1
                 if end > reached[t]:
-                    found[self.probe(t, int(code[t]), reached[t], end)] = True
+                    table.mark(found, int(code[t]), reached[t], end)
                     reached[t] = end
-            rows = np.flatnonzero(found)
-            distance = _popcount[self.codes[rows] ^ code].sum(axis=1)
-            rows = rows[distance <= radius]
-            if len(rows) >= at_least or radius >= many * SUBSTRING_BITS:
-                return rows
+            near = np.flatnonzero(found)
+            distance = np.bitwise_count(self.packed[near] ^ packed).sum(axis=1, dtype=np.int64)
+            near = near[distance <= radius]
+            if len(near) >= at_least or radius >= many * SUBSTRING_BITS:
+                return near
             radius += many
 
 
-def learn(vectors: np.ndarray, top_norm: float, k: int) -> Coder:
+def learn(vectors: np.ndarray, top: float, k: int) -> Coder:
     width = vectors.shape[1]
-    coder = Coder(np.zeros((width + 1, CODE_BITS)), top_norm, 0)
-    rotation = learn_rotation(coder.lifted(vectors), CODE_BITS)
-    coder = Coder(rotation, top_norm, 0)
+    coder = Coder(np.zeros((width + 1, CODE_BITS)), top, 0)
+    scaled = coder.scaled(vectors)
+    rotation = learn_rotation(coder.lifted(scaled), CODE_BITS)
+    coder = Coder(rotation, top, 0)
     queries = np.linspace(0, len(vectors) - 1, min(SAMPLE_QUERIES, len(vectors))).astype(int)
     codes, sought = coder.codes(vectors), coder.codes(vectors[queries], query=True)
     distances = []
     for n, q in enumerate(queries):
-        scores = vectors @ vectors[q]
+        scores = scaled @ scaled[q]
         scores[q] = -np.inf
         nearest = np.argsort(-scores)[: min(k, len(vectors) - 1)]
-        distances.append(_popcount[codes[nearest] ^ sought[n]].sum(axis=1))
+        distances.append(np.bitwise_count(codes[nearest] ^ sought[n]).sum(axis=1, dtype=np.int64))
     distances = np.concatenate(distances) if distances else np.zeros(0)
     radius = int(np.quantile(distances, COVERAGE)) + 1 if len(distances) else CODE_BITS
-    return Coder(rotation, top_norm, radius)
+    return Coder(rotation, top, radius)
 
 
 def search_block(
@@ -138,12 +157,16 @@ def search_block(
         index = MultiIndex(own.codes(vectors))
         sought = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
         codes = own.codes(sought, query=True)
+        scaled, asked = own.scaled(vectors), own.scaled(sought)
         for n, query_id in enumerate(queries["query_id"].to_numpy()):
             near = index.within(codes[n], own.radius, k + 1)
-            scores = (vectors[near] * sought[n]).sum(axis=1)
             if len(near) > k + 1:
-                least = np.partition(scores, -(k + 1))[-(k + 1)]
-                near, scores = near[scores >= least], scores[scores >= least]
+                # A first ranking, whose sums may differ in their last bits, keeps a margin.
+                rough = scaled[near] @ asked[n]
+                least = np.partition(rough, -(k + 1))[-(k + 1)]
+                near = near[rough >= least - MARGIN]
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = (vectors[near] * sought[n]).sum(axis=1)
             ids = np.concatenate([members[r] for r in near])
             scores = np.repeat(scores, [len(members[r]) for r in near])
             scores, ids = scores[ids != query_id], ids[ids != query_id]
@@ -165,6 +188,13 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (first["d"] if first else 0))
 
 
+def length_log(column: str) -> Column:
+    """Binary logarithm of the vector's length, without overflow."""
+    top = F.array_max(F.transform(column, lambda x: F.abs(x.cast("double"))))
+    shares = F.transform(column, lambda x: x.cast("double") / top)
+    return F.log2(top) + F.log2(F.aggregate(shares, F.lit(0.0), lambda a, x: a + x * x)) / 2
+
+
 def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_step: int = 20) -> DataFrame:
     """The k nearest vectors of each query row: query_id, rank, vec_id, score.
 
@@ -185,7 +215,7 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_step: int = 20)
     rows = usable_vectors(embeddings)
     number = rows.agg(
         F.count("*").alias("n"), F.sum((F.col("vec_id") % query_step == 0).cast("long")).alias("q"),
-        F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("norm"),
+        F.max(length_log("embedding")).alias("top"),
     ).first()
     share = min(1.0, SAMPLE_ROWS / max(number["n"], 1))
     place = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000))
@@ -195,7 +225,7 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_step: int = 20)
     )
     if not sample:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    coder = spark.sparkContext.broadcast(learn(np.array(sample, np.float64), number["norm"] ** 0.5, k))
+    coder = spark.sparkContext.broadcast(learn(np.array(sample, np.float64), number["top"], k))
 
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))
     smallest = lambda *keys: Window.partitionBy("embedding", *keys).orderBy("vec_id")

@@ -436,3 +436,40 @@ def test_long_pre_tokens_are_counted_as_the_library_does():
     start = time.monotonic()
     long_count(vocab, megabyte)
     assert time.monotonic() - start < 60
+
+
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    import numpy as np
+
+    from ledgerlake.llm.neighbours import nearest_neighbours
+
+    draw = np.random.default_rng(2)
+    vectors = {n: v for n, v in enumerate(draw.normal(size=(60, 8)))}
+    vectors |= {n: vectors[n] * 1e200 for n in range(50, 55)} | {n: vectors[n] * 1e-200 for n in range(55, 60)}
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in vectors.items()], "vec_id bigint, embedding array<double>")
+    got = nearest_neighbours(df).collect()
+    for query in (0, 20, 40):
+        own = sorted((r for r in got if r["query_id"] == query), key=lambda r: r["rank"])
+        exact = sorted((-float((v * vectors[query]).sum()), n) for n, v in vectors.items() if n != query)[:20]
+        assert [(r["vec_id"], r["score"]) for r in own] == [(n, -s) for s, n in exact]
+
+
+def test_neighbours_recall_on_the_table(spark, sf_dir):
+    import numpy as np
+
+    from ledgerlake.llm.neighbours import nearest_neighbours
+    from ledgerlake.llm.queries import table
+
+    df = table(spark, sf_dir, "embeddings")
+    rows = {r["vec_id"]: np.array(r["embedding"]) for r in df.collect()}
+    ids = np.array(sorted(rows))
+    vectors = np.stack([rows[n] for n in ids])
+    found: dict[int, set] = {}
+    for r in nearest_neighbours(df).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for query, own in found.items():
+        scores = np.where(ids == query, -np.inf, vectors @ rows[query])
+        hits += len(own & set(ids[np.argsort(-scores)[:20]].tolist()))
+    assert len(found) == (ids % 20 == 0).sum()
+    assert hits >= 0.9 * 20 * len(found)
