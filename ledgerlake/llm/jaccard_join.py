@@ -11,6 +11,7 @@ more, and only those of the pairs.
 Of two prefixes the one that ends first in the global order can meet the other set only in
 the other prefix. So if c shingles are in both prefixes, the sets share at most c and
 what the longer remainder behind a prefix holds: mere chance meetings do not get any further.
+Bit masks of the prefixes bound c from above already where prefixes meet.
 
 Only what is connected matters, so verification comes in two rounds. In the first
 every group is compared with the group it shares most shingles with among the
@@ -49,6 +50,7 @@ TENTHS = 8  # similarity of 0.8, as whole tenths
 LISTED = 200_000  # most frequent shingles whose order is known; the others count as rare
 COUNTED_AT_ONCE = 2_000_000
 BYTES_PER_SHINGLE = 30  # of text, per shingle that is counted
+MASK_WORDS = 8  # of 64 bits, for the prefix shingles of a set
 
 
 class Sets:
@@ -158,9 +160,27 @@ def document_batches(
                 rows.column(0), sets.sizes, as_signed(sums[0]), as_signed(sums[1]), as_signed(group),
                 pa.ListArray.from_arrays(ends, pa.array(as_signed(anchor))),
                 pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int64))),
+                masks(anchor, owner, many),
             ])
 
 
+def masks(anchor: np.ndarray, owner: np.ndarray, many: int) -> pa.ListArray:
+    """One bit for each prefix shingle of each set."""
+    bit = mixed(anchor)
+    words = np.zeros((many, MASK_WORDS), np.uint64)
+    at = ((bit >> np.uint64(6)) % np.uint64(MASK_WORDS)).astype(np.int64)
+    np.bitwise_or.at(words, (owner, at), np.uint64(1) << (bit & np.uint64(63)))
+    ends = pa.array(np.arange(0, many * MASK_WORDS + 1, MASK_WORDS, dtype=np.int32))
+    return pa.ListArray.from_arrays(ends, pa.array(as_signed(words.ravel())))
+
+
+def shared_by_masks() -> Column:
+    """No fewer prefix shingles than a and b share: a bit that only one mask has is a shingle
+    of that prefix that the other one does not hold."""
+    only = lambda x, y: " + ".join(f"bit_count(mask_{x}[{n}] & ~mask_{y}[{n}])" for n in range(MASK_WORDS))
+    return F.expr(f"least(many_a - ({only('a', 'b')}), many_b - ({only('b', 'a')}))")
+
+
 def shingle_set(text: str, shingle: int) -> set:
     """The distinct shingles of a text as words, without hashes."""
     words = text.encode().lower().split()
@@ -204,10 +224,10 @@ def verified(pairs: DataFrame, docs: DataFrame, kind: str, shingle: int, tenths:
     return written(checked.distinct(), "jaccard-links")
 
 
-def most_shared(tenths: int) -> Column:
+def most_shared(tenths: int, c: Column) -> Column:
     """Shingles that sets of n_a and n_b can have in common, if `c` are in both prefixes."""
     behind = lambda n: F.greatest(F.expr(f"({tenths} * {n} + 9) div 10 - 1"), F.lit(0))
-    return F.col("c") + F.greatest(behind("n_a"), behind("n_b"))
+    return c + F.greatest(behind("n_a"), behind("n_b"))
 
 
 def needed(tenths: int) -> Column:
@@ -242,7 +262,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     bits = broadcast(repeated_cells(docs, front, size))
     ddl = (
         f"doc_id {kind}, n bigint, s1 bigint, s2 bigint, g bigint,"
-        " shingles array<bigint>, places array<bigint>"
+        " shingles array<bigint>, places array<bigint>, mask array<bigint>"
     )
     run = partial(
         document_batches, listed=listed, bits=bits, size=size, shingle=shingle, tenths=tenths,
@@ -254,9 +274,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     classes = usable.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
     kept = usable.where(F.size("shingles") > 0)
     nodes = written(
-        kept.select("doc_id", "n", "s1", "s2", "g", "shingles", "places")
+        kept.select("doc_id", "n", "s1", "s2", "g", "shingles", "places", "mask")
         .join(classes, ["n", "s1", "s2"]).where(F.col("doc_id") == F.col("id"))
-        .select("id", "n", "g", "shingles", "places"),
+        .select("id", "n", "g", "shingles", "places", "mask"),
         "shingle-nodes",
     )
     groups = nodes.groupBy("g").agg(F.min("id").alias("gid"))
@@ -278,7 +298,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
         nearest.join(of_group.withColumnsRenamed({"n": "n_a", "shingles": "a"}), "gid")
         .join(of_group.toDF("hub", "n_b", "b"), "hub")
         .select("gid", "hub", "n_a", "n_b", F.size(F.array_intersect("a", "b")).alias("c"))
-        .where(fitting_sizes(tenths)).where(most_shared(tenths) >= needed(tenths))
+        .where(fitting_sizes(tenths)).where(most_shared(tenths, F.col("c")) >= needed(tenths))
     )
     pairs = chosen.select(F.col("hub").alias("a"), F.col("gid").alias("b")).unionByName(
         members.where("id != gid").select(F.col("gid").alias("a"), F.col("id").alias("b"))
@@ -290,7 +310,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
     cells = labelled.select("gid", "label").distinct()
     open_posts = posts.join(cells, "gid")
     split = open_posts.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b")
-    open_posts = written(open_posts.join(split.select("shingle"), "shingle", "left_semi"), "open-posts")
+    open_posts = open_posts.join(split.select("shingle"), "shingle", "left_semi")
+    of_mask = nodes.select(F.col("id").alias("gid"), F.size("shingles").alias("many"), "mask")
+    open_posts = written(open_posts.join(of_mask, "gid"), "open-posts")
     left = open_posts.select([F.col(c).alias(f"{c}_a") if c != "shingle" else F.col(c) for c in open_posts.columns])
     right = open_posts.select([F.col(c).alias(f"{c}_b") if c != "shingle" else F.col(c) for c in open_posts.columns])
     behind = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
@@ -300,12 +322,13 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, tenths: int = TE
         # Shingles in front of the first shared one can't be shared; any other shared one
         # only makes this bound smaller, and the pair comes by its first one as well.
         .where(behind >= needed(tenths))
+        .where(most_shared(tenths, shared_by_masks()) >= needed(tenths))
         .select("gid_a", "label_a", "gid_b", "label_b").distinct()
     )
     cell_pairs = (
         cell_pairs.join(of_group.toDF("gid_a", "n_a", "first"), "gid_a").join(of_group.toDF("gid_b", "n_b", "second"), "gid_b")
         .withColumn("c", F.size(F.array_intersect("first", "second")))
-        .where(most_shared(tenths) >= needed(tenths)).select("gid_a", "label_a", "gid_b", "label_b")
+        .where(most_shared(tenths, F.col("c")) >= needed(tenths)).select("gid_a", "label_a", "gid_b", "label_b")
     )
     of = labelled.select("gid", "label", "id")
     open_pairs = (
