@@ -473,3 +473,87 @@ def test_neighbours_recall_on_the_table(spark, sf_dir):
         hits += len(own & set(ids[np.argsort(-scores)[:20]].tolist()))
     assert len(found) == (ids % 20 == 0).sum()
     assert hits >= 0.9 * 20 * len(found)
+
+
+def brute_lines(rows):
+    """Kept text of every (doc_id, text) by the rule itself; ids are unique."""
+    import xxhash
+
+    hash_of = lambda data, seed: xxhash.xxh64_intdigest(data, seed & (2**64 - 1))
+    chunks, first = [], {}
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        own = [hash_of(x.encode(), 42) for x in lines]
+        solid = [n for n, x in enumerate(lines) if x.strip(" ")]
+        ends = [False]
+        for a, b in zip(solid, solid[1:]):
+            h = hash_of(own[b].to_bytes(8, "little"), hash_of(own[a].to_bytes(8, "little"), 42))
+            ends.append((h - (h >> 63 << 64)) % 4 != 0)
+        for k in range(len(solid) - 1):
+            last = next((j for j in range(k + 1, min(k + 8, len(solid))) if ends[j]), min(k + 7, len(solid) - 1))
+            chunk = "\n".join(lines[solid[k] : solid[last] + 1])
+            chunks.append((doc_id, solid[k], solid[last] + 1, chunk))
+            first[chunk] = min(first.get(chunk, (doc_id, solid[k])), (doc_id, solid[k]))
+    gone = {doc_id: set() for doc_id, _ in rows}
+    for doc_id, begin, end, chunk in chunks:
+        if first[chunk] != (doc_id, begin):
+            gone[doc_id].update(range(begin, end))
+    return {
+        i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i]) for i, t in rows
+    }
+
+
+def test_line_dedup_equals_brute_force(spark, sf_dir):
+    from ledgerlake.llm.lines import line_dedup
+    from ledgerlake.llm.queries import table
+
+    docs = table(spark, sf_dir, "documents")
+    got = {r["doc_id"]: r["text"] for r in line_dedup(docs).collect()}
+    assert got == brute_lines([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_line_dedup_finds_short_passages_in_new_surroundings(spark):
+    from ledgerlake.llm.lines import line_dedup
+
+    rows, sizes = [], (2, 3, 4, 6, 10, 20)
+    for n in range(300):
+        for size in sizes:
+            passage = "\n".join(f"passage {size} {n} line {k}" for k in range(size))
+            rows.append((len(rows), f"before {size} {n}\nown {size} {n}\n{passage}\nafter {size} {n}\n\nend {n} {size}"))
+            rows.append((len(rows), f"other {size} {n}\n\n{passage}\nlater {n} {size}\nlast {n} {size}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    expected = brute_lines(rows)
+    assert {k: r["text"] for k, r in got.items()} == expected
+    for at, least in zip(range(len(sizes)), (0.65, 0.85, 0.9, 0.93, 0.95, 0.97)):
+        removed = sum(got[i]["n_removed"] for i in range(2 * at + 1, len(rows), 2 * len(sizes)))
+        print(sizes[at], removed / (300 * sizes[at]))
+        assert removed >= least * 300 * sizes[at]
+    assert all(r["n_removed"] == 0 for i, r in got.items() if i % 2 == 0)
+
+
+def test_line_dedup_is_linear_in_the_lines_of_a_text(spark):
+    import time
+
+    from ledgerlake.llm.lines import line_dedup
+
+    text = "\n".join(f"l{n % 50_000}" for n in range(160_000))
+    same = "\n".join(["same"] * 160_000)
+    blank = "\n".join(["x", *[""] * 160_000, "y"])
+    docs = spark.createDataFrame([(1, text), (2, text), (3, same), (4, blank)], "doc_id bigint, text string")
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    assert time.monotonic() - start < 60
+    assert got[2]["text"] == "" and got[2]["n_removed"] == 160_000
+    assert got[3]["n_removed"] == 159_999 and got[4]["n_removed"] == 0
+
+
+def test_line_dedup_keeps_columns_with_names_of_the_plan(spark):
+    from ledgerlake.llm.lines import line_dedup
+
+    names = ["_id", "_body", "body", "spans", "lines", "gaps", "row", "chunk", "begin", "h1"]
+    ddl = "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(n, "one line\nand one more\nthird here\nfourth", *names) for n in (1, 2)]
+    got = line_dedup(spark.createDataFrame(rows, ddl)).orderBy("doc_id").collect()
+    assert [tuple(r[n] for n in names) for r in got] == [tuple(names)] * 2
+    assert got[0]["n_removed"] == 0 and got[1]["n_removed"] >= 2
