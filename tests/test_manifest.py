@@ -461,3 +461,42 @@ def test_runs_that_keep_states(spark, tmp_path):
         assert rows(read_table(spark, paths.book, load).drop("dt_proc").select(*want.columns)) == rows(want)
     with pytest.raises(ValueError):
         run_month(spark, paths, LOADS[2], ENDS[2], book_from="states", loads="all")
+
+
+# Rows that are there once are not shuffled
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("sent", [0, 2, 1_000])
+def test_distinct_rows_are_those_of_distinct(spark, monkeypatch, sent):
+    monkeypatch.setattr(seen, "SENT", sent)
+    schema = "a int, b double, c string"
+    nan = float("nan")
+    data = [(1, 0.0, None), (1, -0.0, None), (1, None, ""), (1, None, None), (None, nan, "x"), (None, nan, "x"),
+            (2, -0.0, "y"), (3, 1.0, "z"), (3, 1.0, "z"), (4, 2.5, "once")]
+    df = spark.createDataFrame(data, schema).repartition(3)
+    got, want = seen.distinct_rows(df), df.distinct()
+    assert [str(r) for r in rows(got)] == [str(r) for r in rows(want)]
+
+
+def test_rows_without_copies_stay_in_their_tasks(spark):
+    single = spark.range(1_000).select("id", F.col("id").cast("string").alias("text"))
+    assert "Exchange" not in _plan(seen.distinct_rows(single))
+    few = single.unionByName(single.limit(3))
+    plan = _plan(seen.distinct_rows(few))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert seen.distinct_rows(few).count() == 1_000
+
+
+@pytest.mark.parametrize("sent", [0, 4, 1_000])
+def test_new_rows_whatever_the_number_of_known_ones(spark, tmp_path, monkeypatch, sent):
+    """None known, few that every task gets, and too many for that."""
+    monkeypatch.setattr(seen, "SENT", sent)
+    index = SeenIndex(spark, str(tmp_path / "i"))
+    made = lambda first, end: spark.range(first, end).select("id", (F.col("id") % 3).alias("third"))
+    assert index.take(made(0, 40), LOADS[0]) == 40
+    assert index.take(made(40, 60).unionByName(made(40, 42)), LOADS[1]) == 20
+    assert index.take(made(38, 63).unionByName(made(60, 61)), LOADS[2]) == 3
+    assert rows(index.rows(LOADS[2])) == [(60, 0), (61, 1), (62, 2)]
