@@ -2,33 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ledgerlake.sources.scratch import scratch_dir
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Jobs in this block remove their shuffle files when they end.
-
-    What is read afterwards is their result, so nothing could ask for the files again.
-    Otherwise they stay on the executors' disks until the driver happens to collect
-    garbage. An executor lost while a job runs is recovered as ever.
-    """
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+from ledgerlake.sources.scratch import CLEANUP, scratch_dir, shuffles_removed  # noqa: F401
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

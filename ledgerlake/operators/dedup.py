@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -10,18 +10,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_rows(df: DataFrame, dedup: str = "business", version: str = "dt_proc") -> DataFrame:
-    """Whole-row distinct. Equal rows are merged in each task before the shuffle."""
+def exact_rows(
+    df: DataFrame,
+    dedup: str = "business",
+    version: str = "dt_proc",
+    distinct: Callable[[DataFrame], DataFrame] = DataFrame.distinct,
+) -> DataFrame:
+    """Whole-row distinct. Equal rows are merged in each task before the shuffle.
+
+    `distinct` may be `seen.distinct_rows`, for rows that are stored: it reads them first.
+    """
     if dedup == "business":
-        return df.drop(version).distinct()
+        return distinct(df.drop(version))
     if dedup == "with_load":
-        return df.distinct()
+        return distinct(df)
     raise ValueError(f"unknown dedup mode {dedup!r}")
 
 
 # A stamp and its width share one bigint in `latest_version`, which leaves room for 17 digits.
 MAX_STAMP_DIGITS = 17
 _WIDTH = 32
+FEW_KEYS = 100_000  # keys that are sent to every task
 
 
 def _stamp(df: DataFrame, version: str) -> Column:
@@ -70,6 +79,9 @@ def latest_load(
     shuffle and keeps the matching rows with a semi join. A key that holds a
     large part of the table is cut into several tasks by the adaptive skew
     join, and a small set of keys is broadcast if its measured size allows it.
+    `strategy="mixed"` is for rows that are stored. It looks first for keys that have more than one
+    version; the other keys' rows stay in their tasks, and up to 100,000 keys are sent to
+    every task. Beyond that it is the join.
     `strategy="rank"` needs one scan and one shuffle, but all newest rows of a
     key meet in one task: only for keys known to have few rows.
 
@@ -93,10 +105,11 @@ def latest_load(
             .where("_rank = 1")
             .drop("_rank")
         )
-    if strategy != "join":
+    if strategy not in ("join", "mixed"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    newest = df.groupBy(*keys).agg(F.max(_stamp(df, version)).alias("_newest")).alias("newest")
+    stamps = df.groupBy(*keys).agg(F.max(_stamp(df, version)).alias("_newest"), F.min(_stamp(df, version)).alias("_oldest"))
+    newest = stamps.drop("_oldest").alias("newest")
     # The aggregate sees every row and refuses bad stamps; here a plain cast will do.
     is_text = dict(df.dtypes)[version] == "string"
     number = F.col(version).try_cast("bigint") if is_text else F.col(version)
@@ -107,6 +120,18 @@ def latest_load(
         else F.col(f"rows.{key}") == F.col(f"newest.{key}")
         for key in keys
     ]
+    if strategy == "mixed":
+        mixed = stamps.where("_newest <> _oldest").drop("_oldest")
+        found = mixed.count()
+        if found <= FEW_KEYS:
+            rows = rows.where("_stamp IS NOT NULL")
+            if null_keys == "drop":
+                rows = rows.dropna("any", subset=keys)
+            if found:
+                is_older = F.col("rows._stamp") < F.col("newest._newest")
+                older = F.broadcast(mixed).alias("newest")
+                rows = rows.alias("rows").join(older, reduce(and_, [*same_key, is_older]), "left_anti")
+            return rows.drop("_stamp")
     is_newest = F.col("rows._stamp") == F.col("newest._newest")
     return rows.join(newest, reduce(and_, [*same_key, is_newest]), "left_semi").drop("_stamp")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ def standardise(
     dt_proc: str,
     as_of: date | None = None,
     dedup: str = "business",
+    distinct: Callable[[DataFrame], DataFrame] = DataFrame.distinct,
 ) -> DataFrame:
     """Drop exact duplicates, rename to the trusted names, add derived columns and the stamp.
 
@@ -24,6 +26,6 @@ def standardise(
     with several loads is kept once. `dedup="with_load"` compares the raw load
     stamp too and keeps one copy per load.
     """
-    return exact_rows(raw, dedup).select(
+    return exact_rows(raw, dedup, distinct=distinct).select(
         *spec.trusted_columns(as_of), F.lit(dt_proc).alias("dt_proc")
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.sources.manifest import committed, current, open_loads
+from ledgerlake.sources.manifest import CODEC, committed, current, open_loads
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.write.mode("append").partitionBy(*partition_by).parquet(path, compression=CODEC)
 
 
 def load_folder(path: str, dt_proc: str) -> str:

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import dedup
 from ledgerlake.operators.dedup import exact_rows, latest_load, latest_version, restamp
 
 L1, L2 = "20240101000000", "20240201000000"
@@ -110,3 +111,26 @@ def test_stamps_keep_their_zeros(spark, conf, ansi):
     df = loads(spark, [("A", 1, "006"), ("A", 2, "007"), ("B", 3, "0"), ("B", 4, None), ("C", 5, None)])
     assert rows(latest_version(df, ["k"])) == [("A", "007"), ("B", "0"), ("C", None)]
     assert rows(latest_load(df, "k")) == [("A", 2, "007"), ("B", 3, "0")]
+
+
+@pytest.mark.parametrize("few", [0, 1, 100])
+@pytest.mark.parametrize("null_keys", ["drop", "keep"])
+def test_keys_of_several_loads_are_looked_up_first(spark, monkeypatch, few, null_keys):
+    monkeypatch.setattr(dedup, "FEW_KEYS", few)
+    data = [("a", 1, L1), ("a", 2, L2), ("a", 2, L2), ("b", 3, L1), ("c", 4, None), ("d", 5, None), ("d", 6, L1),
+            (None, 7, L1), (None, 8, L2), ("e", 9, L2), ("e", 10, L1)]
+    df = loads(spark, data)
+    got = latest_load(df, "k", null_keys=null_keys, strategy="mixed")
+    assert rows(got) == rows(latest_load(df, "k", null_keys=null_keys))
+    with pytest.raises(Exception, match="load stamp"):
+        latest_load(loads(spark, [("a", 1, "x")]), "k", strategy="mixed").collect()
+
+
+def test_rows_of_keys_with_one_load_stay_in_their_tasks(spark, monkeypatch):
+    df = loads(spark, [(k, n, L1) for k in ("a", "b", None) for n in range(3)])
+    latest = latest_load(df, "k", strategy="mixed")
+    assert "Exchange" not in latest._jdf.queryExecution().executedPlan().toString()
+    assert latest.count() == 6
+    df = df.unionByName(loads(spark, [("b", 9, L2)]))
+    plan = latest_load(df, "k", strategy="mixed")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
