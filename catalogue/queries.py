@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial, reduce
 
@@ -242,24 +243,33 @@ def _standardised(raw: DataFrame, subject: str) -> DataFrame:
 
 
 def control_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the layers themselves. Each is built once; the next one reads what was written."""
+    """Counts of the layers themselves. Each is built once; the next one reads what was written.
+
+    Subjects go through the layers side by side, the stage beside the layers after raw.
+    """
     paths = LakePaths(scratch_dir(spark, "control"))
-    rows, raw_tables = [], {}
-    for subject, make_raw in RAW.items():
-        spec = SUBJECTS[subject]
-        raw = _written(stamp_load(make_raw(spark, sf_dir), DT_PROC), paths.raw(subject))
-        standardised = _written(standardise(raw, spec, DT_PROC, AS_OF), paths.trusted(subject))
-        snapshot = latest_load(standardised, spec.key)
-        rows += [
+
+    def raw_layer(subject: str) -> DataFrame:
+        return _written(stamp_load(RAW[subject](spark, sf_dir), DT_PROC), paths.raw(subject))
+
+    def later_layers(subject: str, raw: DataFrame) -> list[DataFrame]:
+        standardised = _written(_standardised(raw, subject), paths.trusted(subject))
+        snapshot = latest_load(standardised, SUBJECTS[subject].key, strategy="mixed")
+        return [
             load_audit(raw, f"tb_raw_{subject}", DT_PROC),
             load_audit(standardised, f"tb_trusted_{subject}", DT_PROC),
             load_audit(snapshot, f"tb_refined_data_viz_{subject}", DT_PROC),
         ]
-        raw_tables[subject] = raw
-    lines = raw_tables["transactions"].select(
-        *SUBJECTS["transactions"].trusted_columns(None), "dt_proc"
-    )
-    staged = _written(stage_features(lines, DT_PROC, AS_OF), paths.stage)
+
+    def stage_layer(raw: DataFrame) -> DataFrame:
+        lines = raw.select(*SUBJECTS["transactions"].trusted_columns(None), "dt_proc")
+        return _written(stage_features(lines, DT_PROC, AS_OF), paths.stage)
+
+    with shuffles_removed(spark), ThreadPoolExecutor(max_workers=len(RAW) + 1) as pool:
+        raw_tables = dict(zip(RAW, pool.map(raw_layer, RAW)))
+        layers = pool.map(later_layers, RAW, raw_tables.values())
+        staged = pool.submit(stage_layer, raw_tables["transactions"]).result()
+        rows = [row for subject in layers for row in subject]
     rows += [
         load_audit(staged, "tb_refined_stage", DT_PROC),
         load_audit(feature_book(recency_windows(staged, AS_OF)), "tb_refined_book", DT_PROC),
