@@ -31,6 +31,7 @@ from ledgerlake.sources.manifest import (
     write_loads,
     write_version,
 )
+from ledgerlake.sources.scratch import CLEANUP
 from ledgerlake.sources.subjects import SUBJECTS
 from ledgerlake.streaming.landing import land_new_files, take_batch
 
@@ -500,3 +501,31 @@ def test_new_rows_whatever_the_number_of_known_ones(spark, tmp_path, monkeypatch
     assert index.take(made(40, 60).unionByName(made(40, 42)), LOADS[1]) == 20
     assert index.take(made(38, 63).unionByName(made(60, 61)), LOADS[2]) == 3
     assert rows(index.rows(LOADS[2])) == [(60, 0), (61, 1), (62, 2)]
+
+
+def test_a_filter_is_shuffled_as_fingerprints(spark):
+    """Blocks that every task begins would be tasks times blocks, of 4 KB each."""
+    data = fingerprinted(spark.range(0, 20_000, 1, 4).select("id")).select(seen.FINGERPRINT)
+    plan = _plan(seen.filter_bits(data, 3_000))
+    assert plan.count("Exchange") == 1 and "hashpartitioning(block" in plan
+    assert "bitmap_construct_agg" not in plan[plan.index("Exchange") :]
+
+
+def test_many_copies_are_merged_in_their_tasks(spark):
+    copies = spark.range(30).select((F.col("id") % 5).alias("id")).repartition(3).unionByName(spark.range(7, 9))
+    distinct = seen.distinct_rows(copies)
+    assert "BroadcastHashJoin" not in _plan(distinct)
+    assert rows(distinct) == [(n,) for n in (0, 1, 2, 3, 4, 7, 8)]
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    during = []
+    step = MonthlyRun.write_trusted
+    monkeypatch.setattr(
+        MonthlyRun, "write_trusted", lambda run, spec: (during.append(spark.conf.get(CLEANUP)), step(run, spec))[1]
+    )
+    before = spark.conf.get(CLEANUP, None)
+    deliver_employees(tmp_path, some_employees(1))
+    only = {"subjects": (SUBJECTS["employees"],), "steps": ("raw", "trusted")}
+    run_month(spark, LakePaths(str(tmp_path)), LOADS[0], ENDS[0], **only)
+    assert during == ["true"] and spark.conf.get(CLEANUP, None) == before
