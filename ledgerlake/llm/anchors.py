@@ -9,7 +9,7 @@ equal windows always lie in runs with equal anchors.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -22,10 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.arrow import record_batch, text_slices
-from ledgerlake.llm.tables import shuffles_removed
+from ledgerlake.llm.tables import short_batches, shuffles_removed
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-BLOCK = 1 << 16
+BLOCK = 1 << 20  # cells that are sent and merged together
+PART = 1 << 16  # cells of a block whose numbers share their upper bits
+WORD = 8
+WINDOWS_AT_ONCE = 1 << 15
+PLACE = np.uint64(0xFFFF)  # bits of a gram's place beside its hash
 LONGEST_SHORT_WORD = 64
 LARGEST_SKETCH = 27  # log2 of the cells of one of the two rows: 16 MB as bits
 TASKS_AT_ONCE = 256
@@ -109,33 +113,90 @@ class Runs:
     n: np.ndarray  # windows
     anchor: np.ndarray  # hash of the anchor
     owner: np.ndarray  # text
+    place: np.ndarray  # first unit of the anchor
 
 
-def runs_of(units: np.ndarray, texts: np.ndarray, window: int, gram: int) -> Runs:
+def smallest_grams(
+    grams: Callable[[int, int], np.ndarray], texts: np.ndarray, window: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, anchor and place of the anchor of all runs; also of windows that span two texts.
+
+    `grams` gives the hashes of the grams that begin in a range. Grams are ordered by the upper 48 bits
+    of their hash and then by place, which lie in one word; blocks are small enough for the CPU's cache.
+    """
+    width, windows = window - gram + 1, int(texts[-1]) - window + 1
+    begins = texts[:-1][np.diff(texts) >= window]
+    starts, anchors, places = [], [], []
+    last = -1
+    for b in range(0, windows, WINDOWS_AT_ONCE):
+        e = min(b + WINDOWS_AT_ONCE, windows)
+        value = grams(b, e + width - 1)
+        key = (value & ~PLACE) | np.arange(len(value), dtype=np.uint64)
+        reach = 1
+        while reach < width:
+            step = min(reach, width - reach)
+            key = np.minimum(key[:-step], key[step:])
+            reach += step
+        key &= PLACE
+        new = np.empty(len(key), bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        new[0] = int(key[0]) + b != last
+        last = int(key[-1]) + b
+        low, high = np.searchsorted(begins, [b, e])
+        new[begins[low:high] - b] = True
+        start = np.flatnonzero(new)
+        place = key[start].astype(np.int64)
+        starts.append(start + b)
+        anchors.append(value[place])
+        places.append(place + b)
+    return np.concatenate(starts), np.concatenate(anchors), np.concatenate(places)
+
+
+def runs_by(grams: Callable[[int, int], np.ndarray], texts: np.ndarray, window: int, gram: int) -> Runs:
     """All runs of texts that lie behind each other; `texts` holds where each begins and the end."""
-    total = len(units)
-    width = window - gram + 1
-    if total < window:
+    if int(texts[-1]) < window:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none.astype(np.uint64), none)
-    place = np.arange(total - gram + 1)
-    value = Spans(units, 0).hashes(place, place + gram)
-    reach = 1
-    while reach < width:
-        step = min(reach, width - reach)
-        other_value, other_place = value[step:], place[step:]
-        value, place = value[: len(other_value)], place[: len(other_value)]
-        smaller = other_value < value
-        value, place = np.where(smaller, other_value, value), np.where(smaller, other_place, place)
-        reach += step
-    lengths = np.diff(texts)
-    owner = np.repeat(np.arange(len(lengths)), lengths)[: len(value)]
-    inside = np.arange(len(value)) + window <= texts[owner + 1]
-    first = inside & np.append(True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1])
-    start = np.flatnonzero(first)
-    number = np.cumsum(first)
-    n = np.bincount(number[inside], minlength=len(start) + 1)[1:]
-    return Runs(start, n, value[start], owner[start])
+        return Runs(none, none, none.astype(np.uint64), none, none)
+    start, anchor, place = smallest_grams(grams, texts, window, gram)
+    owner = np.searchsorted(texts, start, side="right") - 1
+    n = np.minimum(np.append(start[1:], texts[-1]), texts[owner + 1] - window + 1) - start
+    inside = n > 0
+    return Runs(*(a[inside] for a in (start, n, anchor, owner, place)))
+
+
+def runs_of(units: np.ndarray, texts: np.ndarray, window: int, gram: int) -> Runs:
+    """Runs of units that have a value each."""
+    spans = Spans(units, 0)
+
+    def grams(begin: int, end: int) -> np.ndarray:
+        place = np.arange(begin, end)
+        return spans.hashes(place, place + gram)
+
+    return runs_by(grams, texts, window, gram)
+
+
+def byte_grams(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the gram at each place, from the words of eight bytes that make it up."""
+    count = len(data) - gram + 1
+    padded = np.append(data, np.zeros(WORD - 1, np.uint8)) if gram < WORD else data
+    words = np.empty(len(padded) - WORD + 1, np.uint64)
+    for k in range(WORD):
+        n = (len(padded) - k) // WORD
+        words[k::WORD] = padded[k : k + WORD * n].view("<u8")
+    if gram < WORD:
+        words &= np.uint64((1 << 8 * gram) - 1)
+    value, shifted = np.zeros(count, np.uint64), np.empty(count, np.uint64)
+    for at in sorted({*range(0, gram - WORD + 1, WORD), max(0, gram - WORD)}):
+        value += words[at : at + count]
+        value *= BASES[0]
+        value ^= np.right_shift(value, np.uint64(32), out=shifted)
+    value *= BASES[1]
+    value ^= np.right_shift(value, np.uint64(29), out=shifted)
+    return value
+
+
+def byte_runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Runs:
+    return runs_by(lambda begin, end: byte_grams(data[begin : end + gram - 1], gram), offsets, window, gram)
 
 
 def sketch_size(docs: DataFrame, bytes_per_anchor: int, largest: int = LARGEST_SKETCH) -> int:
@@ -150,17 +211,22 @@ def cells(anchor: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(cell: np.ndarray) -> bytes:
-    """Cells of one block: listed, or as bits if they are many."""
-    if len(cell) < BLOCK // 16:
-        return cell.astype("<u2").tobytes()
+    """Cells of one block, in order: listed by parts, or as bits if they are many."""
+    if len(cell) < BLOCK // 16 - 2 * BLOCK // PART:
+        sizes = np.bincount(cell // PART, minlength=BLOCK // PART)
+        return sizes.astype("<u4").tobytes() + (cell % PART).astype("<u2").tobytes() if len(cell) else b""
     bits = np.zeros(BLOCK, bool)
     bits[cell] = True
     return np.packbits(bits).tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.int64)
     if len(data) < BLOCK // 8:
-        return np.frombuffer(data, "<u2").astype(np.int64)
+        parts = BLOCK // PART
+        sizes = np.frombuffer(data, "<u4", parts)
+        return np.frombuffer(data, "<u2", offset=4 * parts) + np.repeat(np.arange(parts) * PART, sizes)
     return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
 
 
@@ -180,17 +246,19 @@ def task_sketch(anchors: list[np.ndarray], size: int, schema: pa.Schema) -> Iter
 
 
 def merge_blocks(part: pd.DataFrame) -> pd.DataFrame:
-    counts = np.zeros(BLOCK, np.int64)
-    for once, twice in zip(part["once"], part["twice"]):
-        counts[unpacked(once)] += 1
-        counts[unpacked(twice)] += 1
+    once, twice = np.zeros(BLOCK, bool), np.zeros(BLOCK, bool)
+    for met, again in zip(part["once"], part["twice"]):
+        met = unpacked(met)
+        twice[met[once[met]]] = True
+        once[met] = True
+        twice[unpacked(again)] = True
     merged = part.iloc[:1].copy()
-    merged["once"], merged["twice"] = [packed(np.flatnonzero(counts))], [packed(np.flatnonzero(counts > 1))]
+    merged["once"], merged["twice"] = [packed(np.flatnonzero(once))], [packed(np.flatnonzero(twice))]
     return merged
 
 
 SKETCH = "row int, block int, part int, once binary, twice binary"
-HASHES_AT_ONCE = 2_000_000
+HASHES_AT_ONCE = 1_000_000
 
 
 def sketch_batches(batches, anchors_of, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -206,8 +274,14 @@ def sketch_batches(batches, anchors_of, size: int, schema: pa.Schema) -> Iterato
 
 
 def anchor_batches(batches, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
     for batch in batches:
-        yield from task_sketch([batch.column(0).to_numpy().view(np.uint64)], size, schema)
+        held.append(batch.column(0).to_numpy().view(np.uint64))
+        n += len(held[-1])
+        if n >= HASHES_AT_ONCE:
+            yield from task_sketch(held, size, schema)
+            held, n = [], 0
+    yield from task_sketch(held, size, schema)
 
 
 def merged_bits(rows: DataFrame, mapper, size: int, column: str) -> np.ndarray:
@@ -229,17 +303,19 @@ def merged_bits(rows: DataFrame, mapper, size: int, column: str) -> np.ndarray:
             .where(F.length(column) > 0).select("row", "block", column).toArrow()
         )
     bits = np.zeros((2, (1 << size) // 8), np.uint8)
+    width = min(BLOCK, 1 << size)
     for batch in merged.to_batches():
         for row, block, cell in zip(*[c.to_pylist() for c in batch.columns]):
-            full = np.zeros(BLOCK, bool)
+            full = np.zeros(width, bool)
             full[unpacked(cell)] = True
-            bits[row, block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.packbits(full)
+            bits[row, block * width // 8 : (block + 1) * width // 8] = np.packbits(full)
     return bits
 
 
 def repeated_cells(docs: DataFrame, anchors_of, size: int) -> np.ndarray:
     """Count-min sketch over all anchors of all texts: which cells of the two rows were met twice."""
-    return merged_bits(docs.select("text"), partial(sketch_batches, anchors_of=anchors_of), size, "twice")
+    with short_batches(docs.sparkSession):
+        return merged_bits(docs.select("text"), partial(sketch_batches, anchors_of=anchors_of), size, "twice")
 
 
 def marked_cells(anchors: DataFrame, size: int) -> np.ndarray:

@@ -1,13 +1,15 @@
 """Deep-shallow sorting of the fixed-length suffixes that start at given places.
 
 Shallow: multikey quicksort over machine words, ranges small enough are finished by
-one sort of all of them together. Deep: suffixes that still agree go into blind
-tries, which look at single bits that tell members apart and compare bytes once for
-each insertion.
+one sort of all of them together. Deep: ranges of suffixes that still agree, but not
+in all bytes, go into blind tries, which look at single bits that tell members apart
+and compare bytes once for each insertion.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 WORD = 8
@@ -15,12 +17,14 @@ SHALLOW = 24
 SMALL = 2_048
 
 
-def word_at(padded: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
-    """Eight bytes from each place on, as numbers that compare as the bytes do."""
-    value = np.zeros(len(places), np.uint64)
+def all_words(text: np.ndarray, beyond: int) -> np.ndarray:
+    """Eight bytes from each place on, as numbers that compare as the bytes do; zeros follow the text."""
+    padded = np.append(text, np.zeros(beyond + WORD, np.uint8))
+    words = np.empty(len(padded) - WORD + 1, np.uint64)
     for k in range(WORD):
-        value = (value << np.uint64(8)) | padded[places + depth + k]
-    return value
+        n = (len(padded) - k) // WORD
+        words[k::WORD] = padded[k : k + WORD * n].view(">u8")
+    return words
 
 
 class BlindTrie:
@@ -64,9 +68,9 @@ class BlindTrie:
         return out
 
 
-def shallow_order(padded: np.ndarray, places: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def shallow_order(at: np.ndarray, places: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the places by their first `depth` bytes, and where bytes change in it."""
-    words = [word_at(padded, places, d) for d in range(0, depth, WORD)]
+    words = [at[places + d] for d in range(0, depth, WORD)]
     order = np.arange(len(places))
     leaf = np.zeros(len(places), np.int64)
     stack, leaves = [(0, len(places), 0)] if len(places) else [], 0
@@ -95,25 +99,41 @@ def shallow_order(padded: np.ndarray, places: np.ndarray, depth: int) -> tuple[n
     return order, change
 
 
+def unequal_ranges(
+    at: np.ndarray, places: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int, length: int
+) -> np.ndarray:
+    """Which ranges of the places have members that differ from `depth` to `length`."""
+    members = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    own = places[members]
+    differs = np.zeros(len(members), bool)
+    for d in range(depth, length, WORD):
+        word = at[own + d] >> np.uint64(8 * max(0, WORD - (length - d)))
+        differs[1:] |= word[1:] != word[:-1]
+    begins = np.cumsum(sizes) - sizes
+    differs[begins] = False
+    return np.logical_or.reduceat(differs, begins) if len(begins) else np.zeros(0, bool)
+
+
 def sorted_groups(text: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order of the places and the group number of each: equal in the first `length` bytes."""
-    padded = np.append(text, np.zeros(length + WORD, np.uint8)).astype(np.uint64)
+    at = all_words(text, length)
     depth = min(SHALLOW, length // WORD * WORD)
-    order, change = shallow_order(padded, places, depth)
-    starts = np.flatnonzero(change)
+    order, new = shallow_order(at, places, depth)
+    starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, len(order)))
-    new = np.ones(len(order), bool)
+    starts, sizes = starts[sizes > 1], sizes[sizes > 1]
+    deep = unequal_ranges(at, places[order], starts, sizes, depth, length)
     raw = text.tobytes()
-    for begin, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+    for begin, size in zip(starts[deep].tolist(), sizes[deep].tolist()):
         trie = BlindTrie()
-        for item in order[begin : begin + size].tolist():
-            place = int(places[item])
+        items = order[begin : begin + size]
+        for item, place in zip(items.tolist(), places[items].tolist()):
             trie.insert(int.from_bytes(raw[place + depth : place + length], "big"), item)
-        at = begin
-        for group in trie.groups():
-            order[at : at + len(group)] = group
-            new[at + 1 : at + len(group)] = False
-            at += len(group)
+        groups = trie.groups()
+        order[begin : begin + size] = [item for group in groups for item in group]
+        for group in groups:
+            new[begin] = True
+            begin += len(group)
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     return order, group

@@ -89,8 +89,10 @@ def packed_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iter
     """Texts compressed one by one, for the one shuffle they go through."""
     pack = zstandard.ZstdCompressor(level=6).compress
     for batch in batches:
-        texts = batch.column(2).fill_null("").to_pylist()
-        yield record_batch(schema, [batch.column(0), batch.column(1), [pack(t.encode()) for t in texts]])
+        for rows, data, offsets in text_slices(batch):
+            raw = data.tobytes()
+            packed = [pack(raw[b:e]) for b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield record_batch(schema, [rows.column(0), rows.column(1), packed])
 
 
 def with_covers(docs: DataFrame, covers: DataFrame) -> DataFrame:

@@ -3,12 +3,16 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ledgerlake.llm import anchors
 from ledgerlake.llm.anchors import byte_units, runs_of
 from ledgerlake.llm.bpe import bpe_digests, bpe_round_trip
 from ledgerlake.llm.decontamination import benchmark_leaks, without_leaks
@@ -310,6 +314,40 @@ def test_runs_cover_every_window_once():
     assert windows == [(0, k) for k in range(281)] + [(3, 345 + k) for k in range(151)]
 
 
+def test_runs_have_the_smallest_gram_at_block_borders(monkeypatch):
+    monkeypatch.setattr(anchors, "WINDOWS_AT_ONCE", 64)
+    lengths = [0, 49, 50, 51, 0, 400, 90]
+    data = np.random.default_rng(2).integers(97, 100, sum(lengths)).astype(np.uint8)
+    data[100:250] = 97
+    texts = np.cumsum([0, *lengths])
+    runs = anchors.byte_runs(data, texts, 50, 24)
+    windows = [(o, s + k, p) for o, s, n, p in zip(runs.owner, runs.start, runs.n, runs.place) for k in range(n)]
+    value = anchors.byte_grams(data, 24)
+    smallest = lambda s: min((int(value[p]) >> 16, p) for p in range(s, s + 27))[1]
+    assert windows == [(o, s, smallest(s)) for o in range(7) for s in range(texts[o], texts[o + 1] - 49)]
+    assert (runs.anchor == value[runs.place]).all()
+
+
+def test_a_task_sends_its_sketch_in_few_blocks(monkeypatch):
+    monkeypatch.setattr(anchors.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    values = np.random.default_rng(3).integers(0, 1 << 63, 20_000)
+    schema = pa.schema([(c, pa.int32()) for c in ("row", "block", "part")] + [(c, pa.binary()) for c in ("once", "twice")])
+    batches = (pa.RecordBatch.from_arrays([pa.array(v)], names=["anchor"]) for v in np.split(values, 40))
+    sent = pa.Table.from_batches(anchors.anchor_batches(batches, 22, schema))
+    assert sent.num_rows == 8
+    for row, cell in enumerate(anchors.cells(values.view(np.uint64), 22)):
+        met = [b * (1 << 20) + anchors.unpacked(x) for r, b, x in zip(*(sent[c].to_pylist() for c in ("row", "block", "once"))) if r == row]
+        assert (np.concatenate(met) == np.unique(cell)).all()
+
+
+def test_suffix_dedup_leaves_no_table_that_is_not_read_again(spark, odd):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.iterdir())
+    result = suffix_dedup(odd.select("doc_id", "text"))
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before] == ["byte-runs-masks"]
+    assert result.count() == len(ODD)
+
+
 def test_license_phrases_and_notices(spark, odd, none):
     rows = [
         (1, "x MIT-License mit license"), (2, "Released under the MIT License."), (3, None), (4, ""),
