@@ -529,3 +529,52 @@ def test_a_run_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
     only = {"subjects": (SUBJECTS["employees"],), "steps": ("raw", "trusted")}
     run_month(spark, LakePaths(str(tmp_path)), LOADS[0], ENDS[0], **only)
     assert during == ["true"] and spark.conf.get(CLEANUP, None) == before
+
+
+# Loads that are worked through part by part
+
+def test_many_known_rows_are_compared_part_by_part(spark, tmp_path, monkeypatch):
+    """Every part shuffles its share of load and index; all of them are the load's new rows."""
+    monkeypatch.setattr(seen, "SENT", 4)
+    monkeypatch.setattr(manifest, "PARTS", 3)
+    index = SeenIndex(spark, str(tmp_path / "i"))
+    made = lambda first, end: spark.range(first, end, 1, 2).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("text")
+    )
+    assert index.take(made(0, 400), LOADS[0]) == 400
+    load = made(100, 500).unionByName(made(480, 500)).distinct()
+    parts = index.new_parts(load, LOADS[1])
+    assert len(parts) == 3
+    assert sorted(r.id for part in parts for r in part.collect()) == list(range(400, 500))
+    assert all(_plan(part).count("pmod(xxhash64(_fingerprint") >= 2 for part in parts)
+    assert index.take(load, LOADS[1]) == 100
+    folder = manifest.version_folder(index.path, LOADS[1], index.loads()[LOADS[1]][0].version)
+    assert spark.read.parquet(folder).count() == 100
+
+
+def test_a_filter_in_parts_is_the_whole_filter(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "PARTS", 3)
+    made = lambda first, end: spark.range(first, end, 1, 2).select("id")
+    filters = []
+    for rows_of_part in (10**9, 100):
+        monkeypatch.setattr(manifest, "PART_ROWS", rows_of_part)
+        monkeypatch.setattr(seen, "ROWS_PER_BLOCK", 64)
+        index = SeenIndex(spark, str(tmp_path / str(rows_of_part)))
+        for number, load in enumerate(LOADS):  # the filter is made, added to and made anew
+            index.take(made(number**3 * 300, number**3 * 300 + 500), load)
+        bits, blocks = index._filter()
+        filters.append((blocks, rows(bits.select("block", F.hex("bits")))))
+    assert filters[0] == filters[1] and len(filters[0][1]) > 8
+
+
+def test_a_load_written_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "PARTS", 2)
+    path, ids = str(tmp_path / "t"), lambda df: [r.id for r in df.orderBy("id").collect()]
+    parts = manifest.in_parts(numbers(spark, 100), "ref", rows=10 * manifest.PART_ROWS)
+    assert len(parts) == 2 and len(manifest.in_parts(numbers(spark, 9), "ref", rows=9)) == 1
+    assert write_load(parts, path, LOADS[0], ("ref",)) == 100
+    assert ids(read_table(spark, path)) == list(range(100))
+    assert write_load([part.where("id < 3") for part in parts], path, LOADS[0], ("ref",)) == 3
+    assert ids(read_table(spark, path)) == [0, 1, 2]
+    assert write_load([part.where("id < 0") for part in parts], path, LOADS[0], ("ref",)) == 0
+    assert read_table(spark, path).columns == ["id", "dt_proc", "ref"] and ids(read_table(spark, path)) == []
