@@ -33,6 +33,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--dedup", choices=("business", "with_load"), default="business")
     parser.add_argument("--loads", choices=("new", "own", "all"), default="new")
     parser.add_argument("--resume", action="store_true")
+    parser.add_argument("--replaced", choices=("remove", "keep"), default="remove")
     parser.add_argument("--book-from", choices=("stage", "states"), default="stage")
     parser.add_argument("--snapshots", choices=("run", "newest", "all"))
     chosen = parser.parse_args(arguments)
@@ -50,6 +51,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         loads=chosen.loads,
         book_from=chosen.book_from,
         resume=chosen.resume,
+        replaced=chosen.replaced,
         snapshots=chosen.snapshots or ("run" if "refined" in chosen.steps else "newest"),
         subjects=tuple(SUBJECTS[name] for name in chosen.subjects),
     )

@@ -578,3 +578,71 @@ def test_a_load_written_in_parts(spark, tmp_path, monkeypatch):
     assert ids(read_table(spark, path)) == [0, 1, 2]
     assert write_load([part.where("id < 0") for part in parts], path, LOADS[0], ("ref",)) == 0
     assert read_table(spark, path).columns == ["id", "dt_proc", "ref"] and ids(read_table(spark, path)) == []
+
+
+def deliver_sales(folder, lines=60):
+    """Lines of invoices over several months; every fourth line has no invoice."""
+    (folder / "01_transient").mkdir()
+    header = [h for h, _, _ in SUBJECTS["transactions"].landing]
+    text = [",".join(header)]
+    for n in range(lines):
+        sale = {"Invoice ID": "" if n % 4 == 0 else str(n // 7), "Line": n % 7, "Customer ID": n % 5, "Currency": "USD",
+                "Date": f"2001-0{n % 8 + 1}-02 10:00:00", "Line Total": n / 4}
+        text.append(",".join(str(sale.get(h, "")) for h in header))
+    (folder / "01_transient" / "transactions.csv").write_text("\n".join(text) + "\n")
+
+
+def test_trusted_and_stage_in_parts_are_those_of_one_part(spark, tmp_path, monkeypatch):
+    only = {"subjects": (SUBJECTS["transactions"],), "null_keys": "keep"}
+    monkeypatch.setattr(manifest, "PARTS", 3)
+    tables, appended = [], []
+    for part_rows in (1_000, 10):
+        monkeypatch.setattr(manifest, "PART_ROWS", part_rows)
+        paths = LakePaths(str(tmp_path / str(part_rows)))
+        (tmp_path / str(part_rows)).mkdir()
+        deliver_sales(tmp_path / str(part_rows))
+        written = (paths.trusted("transactions"), paths.stage)
+        write, jobs = manifest._write, []
+        with monkeypatch.context() as spied:
+            spied.setattr(manifest, "_write", lambda *a: (jobs.append((a[1], a[2])), write(*a))[1])
+            run_month(spark, paths, LOADS[2], ENDS[2], steps=("raw", "trusted", "refined"), **only)
+            assert MonthlyRun(spark, paths, LOADS[2], ENDS[2], **only).write_stage() == 60
+        appended.append([sum(f.startswith(f"{path}/dt_proc") and mode == "append" for f, mode in jobs) for path in written])
+        tables.append([rows(read_table(spark, path)) for path in written])
+    assert tables[0] == tables[1] and len(tables[0][0]) == len(tables[0][1]) == 60
+    assert appended == [[0, 0], [2, 2]]
+    files = list((tmp_path / "10" / "03_trusted" / "tb_transactions").rglob("ref=*/*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 8  # each month in one part
+
+
+@pytest.mark.parametrize("replaced", ["remove", "keep"])
+def test_a_repeated_run_leaves_no_replaced_files(spark, tmp_path, replaced):
+    options = {"subjects": (SUBJECTS["employees"],), "steps": ("raw", "trusted", "refined"), "replaced": replaced}
+    paths = LakePaths(str(tmp_path))
+    tables = [paths.raw("employees"), paths.trusted("employees"), paths.snapshot("employees"), paths.seen("employees")]
+    versions = lambda load: [len(os.listdir(f"{path}/dt_proc={load}")) for path in tables]
+    deliver_employees(tmp_path, some_employees(1))
+    run_month(spark, paths, LOADS[1], ENDS[1], **options)
+    first = [rows(read_table(spark, path)) for path in tables]
+    # A version that never came to its commit, of another load, is not this run's to remove.
+    write_version(numbers(spark, 3), tables[0], LOADS[0])
+    run_month(spark, paths, LOADS[1], ENDS[1], **options)
+    assert [rows(read_table(spark, path)) for path in tables] == first
+    assert versions(LOADS[1]) == ([1, 1, 1, 1] if replaced == "remove" else [2, 2, 2, 1])
+    assert len(os.listdir(f"{tables[0]}/dt_proc={LOADS[0]}")) == 1
+    kept = os.listdir(f"{tables[3]}/_filter/dt_proc={SeenIndex(spark, tables[3])._filter()[1]}")
+    assert len(kept) == 1
+
+
+def test_a_run_that_dies_removes_nothing(spark, tmp_path, monkeypatch):
+    only = {"subjects": (SUBJECTS["employees"],), "steps": ("raw", "trusted", "refined")}
+    paths = LakePaths(str(tmp_path))
+    deliver_employees(tmp_path, some_employees(1))
+    run_month(spark, paths, LOADS[0], ENDS[0], **only)
+    tables = [paths.raw("employees"), paths.trusted("employees"), paths.snapshot("employees")]
+    kept = [rows(read_table(spark, path)) for path in tables]
+    with monkeypatch.context() as broken:
+        broken.setattr(manifest, "commit", lambda *_: 1 / 0)
+        with pytest.raises(RunFailed):
+            run_month(spark, paths, LOADS[0], ENDS[0], **only)
+    assert [rows(read_table(spark, path)) for path in tables] == kept
